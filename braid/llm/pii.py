@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from .common import bounded_sample
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE, SURE, ROUNDS = 2000, 0.9, 8
+#: PRIOR: what a tie weighs for agreement before data speak: equal identifiers of a document are nearly always of one kind.
+SAMPLE, SURE, ROUNDS, PRIOR = 2000, 0.9, 8, 10.0
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -147,7 +148,7 @@ def _graph(texts: list[str]) -> dict[str, np.ndarray]:
 def train(texts: list[str], seed: int = 7, steps: int = 400) -> dict[str, np.ndarray]:
     """Weights: node (shapes x labels), chain (labels x labels), skip (one for agreement)."""
     g, n_lab, rng = _graph(texts), len(KINDS) + 1, np.random.default_rng(seed)
-    node, chain, skip = np.zeros((N_SHAPE, n_lab)), np.zeros((n_lab, n_lab)), np.zeros(1)
+    node, chain, skip = np.zeros((N_SHAPE, n_lab)), np.zeros((n_lab, n_lab)), np.full(1, PRIOR)
     y, n = np.eye(n_lab)[g["label"]], max(1, len(g["label"]))
     before, after, tied = np.zeros((n, n_lab)), np.zeros((n, n_lab)), np.zeros((n, n_lab))
     if len(g["label"]):
@@ -163,8 +164,8 @@ def train(texts: list[str], seed: int = 7, steps: int = 400) -> dict[str, np.nda
             r = y - p
             node += 2.0 * (x.T @ r / n - 1e-4 * node)
             chain += 2.0 * ((before.T @ r + r.T @ after) / n - 1e-4 * chain)
-            skip += 2.0 * ((tied * r).sum() / n - 1e-4 * skip)
-    return {"node": node, "chain": chain, "skip": np.maximum(skip, 3.0)}
+            skip += 2.0 * ((tied * r).sum() / n - 1e-2 * (skip - PRIOR))
+    return {"node": node, "chain": chain, "skip": np.maximum(skip, 0.0)}
 
 
 def _lse(x: np.ndarray, axis: int) -> np.ndarray:
