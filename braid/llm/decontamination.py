@@ -52,7 +52,8 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n
     else:
         pairs = d.select("doc_id", F.size("sh").alias("_n"), F.explode("sh").alias("h")).join(sk.select("h", "item_id", "needed"), "h").where("_n >= needed").select("doc_id", "item_id").distinct()
         whole = shingled(items, "item_id", n=n).select("item_id", F.col("sh").alias("item_sh"), F.ceil(F.size("sh") * F.lit(threshold) - 1e-9).cast("int").alias("needed"))
-        hits = pairs.join(whole, "item_id").join(d, pairs["doc_id"].eqNullSafe(d["doc_id"])).select(d["doc_id"], "item_id", "item_sh", "needed", "sh")
+        sets = d.select(F.col("doc_id").alias("_doc"), "sh")
+        hits = pairs.join(whole, "item_id").join(sets, F.col("doc_id").eqNullSafe(F.col("_doc"))).select("doc_id", "item_id", "item_sh", "needed", "sh")
     found = hits.select("doc_id", "item_id", F.size("item_sh").alias("n_item"), shared.alias("n_shared"), "needed").where("n_shared >= needed")
     return found.groupBy("doc_id", "item_id").agg(F.max("n_item").alias("n_item"), F.max("n_shared").alias("n_shared"))
 
