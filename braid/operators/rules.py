@@ -105,6 +105,11 @@ def _issue(code: str | Column, severity: str | Column, message: Column | str = "
     return F.struct(lit(candidate).alias("candidate_id"), lit(severity).alias("severity"), lit(code).alias("code"), lit(message).cast("string").alias("message"))
 
 
+def _bind(f, *args):
+    """A lambda of one column: Spark would take further parameters, even with defaults, for its own."""
+    return lambda x: f(x, *args)
+
+
 def _none() -> Column:
     return F.array().cast(ISSUE)
 
@@ -131,16 +136,16 @@ def shape_issues(layer: str, v: Column, keys: Column) -> list[Column]:
         out.append(_if(F.array_contains(keys, field) & ~F.coalesce(kind, F.lit("VOID")).startswith("ARRAY"), _issue("invalid_field_type", "blocking", field)))
         n = F.size(items(v, field))
         out.append(_if(n > most, _issue("count_limit_exceeded", "warning", F.concat(F.lit(f"{field}:"), n.cast("string"), F.lit(f">{most}")))))
-        out.append(_each(F.filter(items(v, field), lambda x: ~F.schema_of_variant(x).startswith("OBJECT")), lambda x, f=field: _issue("invalid_item", "blocking", F.lit(f))))
+        out.append(_each(F.filter(items(v, field), lambda x: ~F.schema_of_variant(x).startswith("OBJECT")), _bind(lambda x, f: _issue("invalid_item", "blocking", F.lit(f)), field)))
     return out
 
 
 def id_issues(layer: str, v: Column) -> list[Column]:
     out = []
     for section, field in LOCAL_IDS[layer].items():
-        every = F.transform(items(v, section), lambda x, f=field: text(x, f))
-        out.append(_each(F.filter(every, lambda t: t == ""), lambda t, s=section: _issue("missing_local_id", "blocking", F.lit(s))))
-        twice = F.filter(F.transform(every, lambda t, i: F.struct(t.alias("t"), i.alias("i"))), lambda s, e=every: (s["t"] != "") & (F.array_position(e, s["t"]) <= s["i"]))
+        every = F.transform(items(v, section), _bind(text, field))
+        out.append(_each(F.filter(every, lambda t: t == ""), _bind(lambda t, s: _issue("missing_local_id", "blocking", F.lit(s)), section)))
+        twice = F.filter(F.transform(every, lambda t, i: F.struct(t.alias("t"), i.alias("i"))), _bind(lambda s, e: (s["t"] != "") & (F.array_position(e, s["t"]) <= s["i"]), every))
         out.append(_each(twice, lambda s: _issue("duplicate_local_id", "blocking", s["t"])))
     return out
 
@@ -150,19 +155,19 @@ def ref_issues(layer: str, v: Column, parent: Column) -> list[Column]:
     for r in REFS[layer]:
         allowed = texts(parent, r.parent) if r.parent else F.array_union(*[_ids(v, *s) for s in r.sections]) if len(r.sections) == 2 else _ids(v, *r.sections[0])
 
-        def refs(x: Column, r: Ref = r) -> Column:
+        def refs(x: Column, r: Ref) -> Column:
             if "|" in r.field:
                 many, one = r.field.split("|")
                 return F.coalesce(F.try_variant_get(x, f"$.{many}", "array<string>"), F.array(text(x, one)))
             return texts(x, r.field) if r.many else F.array(text(x, r.field))
 
-        def bad(x: Column, r: Ref = r, allowed: Column = allowed) -> Column:
+        def bad(x: Column, r: Ref, allowed: Column) -> Column:
             candidate = text(x, "candidate_id") if layer == "session" and r.code != "unknown_candidate_reference" else F.lit("")
             severity = F.when(candidate != "", "candidate_blocking").otherwise(r.severity)
             unknown = F.filter(refs(x, r), lambda t: t.isNotNull() & (t != "") & ~F.array_contains(allowed, t))
             return F.transform(unknown, lambda t: _issue(r.code, severity, F.concat(F.lit(f"{r.section}:"), t), candidate))
 
-        out.append(F.flatten(F.transform(items(v, r.section), bad)).cast(ISSUE))
+        out.append(F.flatten(F.transform(items(v, r.section), _bind(bad, r, allowed))).cast(ISSUE))
     return out
 
 
@@ -199,12 +204,12 @@ def time_issues(v: Column, parent: Column) -> list[Column]:
     for section, fields in TIMES.items():
         for field, mode in fields:
 
-            def found(x: Column, s: str = section, f: str = field, m: str = mode) -> Column:
+            def found(x: Column, s: str, f: str, m: str) -> Column:
                 values = texts(x, f) if f == "evidence_times" else F.array(text(x, f))
                 coded = F.transform(values, lambda t: F.struct(judged(t, m).alias("code"), t.alias("t")))
                 return F.transform(F.filter(coded, lambda y: y["code"].isNotNull()), lambda y: _issue(y["code"], "blocking", F.concat(F.lit(f"{s}.{f}:"), y["t"])))
 
-            out.append(F.flatten(F.transform(items(v, section), found)).cast(ISSUE))
+            out.append(F.flatten(F.transform(items(v, section), _bind(found, section, field, mode))).cast(ISSUE))
     seen = lambda x, f: c.relative_seconds(text(x, f))
     out.append(_each(F.filter(items(v, "objects"), lambda x: seen(x, "first_seen") > seen(x, "last_seen")), lambda x: _issue("invalid_relative_time", "blocking", F.concat(F.lit("objects:"), text(x, "object_id")))))
     num = lambda x, f: F.try_variant_get(x, f"$.{f}", "double")
@@ -227,15 +232,15 @@ def meaning_issues(v: Column) -> list[Column]:
     out.append(_if((F.size(values) >= 10) & F.forall(values, lambda t: t == "high"), _issue("uncalibrated_confidence", "warning", F.size(values))))
     for s in ("atomic_events", "state_changes"):
         ends = lambda x: F.transform(F.split(text(x, "time_range"), "-"), lambda p: F.trim(p))
-        out.append(_each(F.filter(items(v, s), lambda x: (F.size(ends(x)) == 2) & (F.get(ends(x), F.lit(0)) == F.get(ends(x), F.lit(1)))), lambda x, s=s: _issue("zero_duration_range", "warning", F.concat(F.lit(f"{s}:"), text(x, "time_range")))))
+        out.append(_each(F.filter(items(v, s), lambda x: (F.size(ends(x)) == 2) & (F.get(ends(x), F.lit(0)) == F.get(ends(x), F.lit(1)))), _bind(lambda x, s: _issue("zero_duration_range", "warning", F.concat(F.lit(f"{s}:"), text(x, "time_range"))), s)))
     odd = F.filter(items(v, "objects"), lambda x: expected_category(text(x, "name")) != text(x, "category"))
     out.append(_each(odd, lambda x: _issue("inconsistent_object_category", "warning", named(x))))
     for s in LIMITS["micro"]:
         for f in STATE_FIELDS:
-            tokens = F.filter(items(v, s), lambda x, f=f: F.lower(F.trim(text(x, f))).isin(*STATE_TOKENS))
-            out.append(_each(tokens, lambda x, s=s, f=f: _issue("non_chinese_state_token", "warning", F.concat(F.lit(f"{s}.{f}:"), text(x, f)))))
+            tokens = F.filter(items(v, s), _bind(lambda x, f: F.lower(F.trim(text(x, f))).isin(*STATE_TOKENS), f))
+            out.append(_each(tokens, _bind(lambda x, s, f: _issue("non_chinese_state_token", "warning", F.concat(F.lit(f"{s}.{f}:"), text(x, f))), s, f)))
     for s, f in TIME_ORDER.items():
-        at = F.transform(items(v, s), lambda x, f=f: c.relative_seconds(F.split_part(text(x, f), F.lit("-"), F.lit(1))))
+        at = F.transform(items(v, s), _bind(lambda x, f: c.relative_seconds(F.split_part(text(x, f), F.lit("-"), F.lit(1))), f))
         known = (F.size(at) >= 2) & F.forall(at, lambda t: t.isNotNull())
         out.append(_if(known & (F.to_json(F.sort_array(at)) != F.to_json(at)), _issue("non_monotonic_time_order", "warning", s)))
     return out

@@ -172,7 +172,7 @@ def _cells(df: DataFrame, fields: list[str]) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, fields: list[str] | None = None) -> None:
     """A declared list of columns, missing ones empty. Readers see the old files or the new ones: rows go to a folder beside it, which then takes its place."""
-    swap(_cells(df, fields or df.columns).write.option("header", True).option("emptyValue", ""), df.sparkSession, path, "csv")
+    swap(_cells(df, fields or df.columns).write.option("header", True).option("emptyValue", "").option("escape", '"'), df.sparkSession, path, "csv")
 
 
 def swap(writer, spark: SparkSession, path: str, kind: str) -> None:
