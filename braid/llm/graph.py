@@ -42,8 +42,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
 
 def _mark(e: DataFrame) -> tuple:
-    h = F.pmod(F.xxhash64("a", "b"), F.lit(1 << 31))
-    return tuple(e.agg(F.count("*"), F.sum(h), F.sum(h * F.pmod(F.xxhash64("b", "a"), F.lit(1 << 20)))).first())
+    return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first())
 
 
 def blocks(members: DataFrame, group: str, node: str, size: int = BLOCK) -> DataFrame:
