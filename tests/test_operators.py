@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from braid.functions import columns as c
 from braid.functions import jsontext
-from braid.operators import audit, constraints, evidence, intervals, qc, ranking, rules
+from braid.operators import audit, constraints, evidence, intervals, normalise, qc, ranking, rules
 from braid.sources import adapters, io
 from braid.streaming import incremental
 
@@ -415,3 +415,13 @@ def test_streams(spark, tmp_path):
     q = incremental.tumbling(incremental.arrivals(spark, src, schema), "ts", "2 minutes", ["k"], "1 minute", "seq").writeStream.format("memory").queryName("tumbled").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert sum(r.n for r in spark.sql("select n from tumbled").collect()) == 4
+
+
+def test_normalised(spark):
+    rec = micro(objects=[{"object_id": "o1", "name": "煎锅", "category": "food", "initial_state": " Opened "}], end_state=[{"n": 1, "evidence_time": "0:09"}, {"n": 2, "evidence_time": "0:02"}], state_changes=[{"time_range": "0:09-0:10"}, {"time_range": "x"}], extra={"deep": [1]})
+    df = spark.createDataFrame([(json.dumps(rec), json.dumps(PARENT | {"source_video_id": "w"})), ("[1]", "{}"), (None, None)], "record string, parent string")
+    got = [r.normalised for r in normalise.normalised(df, "micro").collect()]
+    x = json.loads(got[0])
+    assert got[1:] == [None, None] and x["source_video_id"] == "w" and x["extra"] == {"deep": [1]}
+    assert (x["objects"][0]["category"], x["objects"][0]["initial_state"]) == ("tool", "打开")
+    assert [e["n"] for e in x["end_state"]] == [2, 1] and [e["time_range"] for e in x["state_changes"]] == ["0:09-0:10", "x"]
