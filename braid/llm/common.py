@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +15,21 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once, for sessions whose Python workers don't have it on their path."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_braid_shipped", False):
+        sc._braid_shipped = True
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="braid-")) / "braid.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(str(archive))  # served by the driver; executors fetch it
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
