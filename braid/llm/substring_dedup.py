@@ -116,7 +116,9 @@ def _route(docs: DataFrame, buckets: int) -> DataFrame:
             b = rec["ah"][rows].view(U) % U(buckets)
             o = np.argsort(b, kind="stable")
             rows, b = rows[o], b[o]
-            cut = np.flatnonzero(np.append(True, b[1:] != b[:-1])) if len(b) else np.zeros(0, int)
+            if not len(b):
+                continue
+            cut = np.flatnonzero(np.append(True, b[1:] != b[:-1]))
             for i, j in zip(cut, np.append(cut[1:], len(b)), strict=True):
                 p.append(int(b[i])), kind.append(what), blob.append(_pack(rec, rows[i:j]))
                 if len(p) >= 256:
@@ -273,8 +275,8 @@ def covered(docs: DataFrame, most: int = MOST) -> DataFrame:
     per = ask.groupBy("ah").agg(F.count("*").alias("n"))
     hot = stored(per.where(F.col("n") > most).select("ah"))
     cut = F.expr(f"substring(cast(text as binary), cast(lo + 1 as int), cast(hi - lo + {LENGTH} as int))")
-    bound = small(ask.select("doc", "lo", "hi", "ah"))
-    segments = d.withColumn("doc", F.coalesce("doc_id", F.lit(_NULL))).join(bound, "doc").select("ah", "doc", "lo", "hi", cut.alias("seg")).where(f"octet_length(seg) = hi - lo + {LENGTH}")
+    # texts meet their requests by shuffle at every size: requests grow with the input, and so would a broadcast
+    segments = d.withColumn("doc", F.coalesce("doc_id", F.lit(_NULL))).join(ask.select("doc", "lo", "hi", "ah"), "doc").select("ah", "doc", "lo", "hi", cut.alias("seg")).where(f"octet_length(seg) = hi - lo + {LENGTH}")
     segments = stored(segments)
     bins = 1 << max(0, (segments.count() // 12_000).bit_length())
     cool = segments.join(small(hot), "ah", "left_anti")
@@ -292,8 +294,6 @@ def cut_out(docs: DataFrame, most: int = MOST) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes): a row for each row of docs."""
     packed = (F.col("lo") * F.lit(1 << 31) + F.col("hi")).alias("x")
     ranges = stored(covered(docs, most).select("doc", packed).groupBy("doc").agg(F.sort_array(F.collect_set("x")).alias("ranges")))
-    size = ranges.agg(F.sum(F.size("ranges"))).first()[0] or 0
-    ranges = small(ranges) if size <= 4_000_000 else ranges
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
