@@ -123,15 +123,17 @@ def _matcher(threshold: float, bands: int):
         if state.get("of") is not t:
             sh = t.column("sh").combine_chunks()
             at = np.asarray(sh.offsets)
-            state.update(of=t, at=at, size=np.diff(at), values=np.asarray(sh.flatten()), shift=at[0], bands=np.asarray(t.column("bands").combine_chunks().flatten()).reshape(-1, bands))
-        at, size, values = state["at"] - state["shift"], state["size"], state["values"]
-        small_, large = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
-        ok = (small_ >= threshold * large - 1e-9) & (state["bands"][j] == state["bands"][i]).any(1)
-        own = values[at[i] : at[i + 1]]
-        for k in np.flatnonzero(ok):
-            other = values[at[j[k]] : at[j[k] + 1]]
-            both = int((own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other).sum())
-            ok[k] = both >= threshold * (len(own) + len(other) - both) - 1e-9
+            # shingles numbered within the block: what row i shares with every row is one lookup and one sum over the block
+            number = np.unique(np.asarray(sh.flatten()), return_inverse=True)[1]
+            state.update(of=t, at=at - at[0], size=np.diff(at), number=number, mark=np.zeros(len(number), bool), bands=np.asarray(t.column("bands").combine_chunks().flatten()).reshape(-1, bands))
+        at, size, number, mark = state["at"], state["size"], state["number"], state["mark"]
+        ok = (np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j]) - 1e-9) & (state["bands"][j] == state["bands"][i]).any(1)
+        if ok.any():
+            own = number[at[i] : at[i + 1]]
+            mark[own] = True
+            both = np.add.reduceat(mark[number], at[:-1], dtype=np.int64)[j]
+            mark[own] = False
+            ok &= both >= threshold * (size[i] + size[j] - both) - 1e-9
         return ok
 
     return match
