@@ -57,10 +57,11 @@ def blocks(members: DataFrame, group: str, node: str, size: int = BLOCK) -> Data
     )
 
 
-def linked(members: DataFrame, group: str, node: str, weight: str, match: Callable[[pa.Table, np.ndarray, np.ndarray], np.ndarray], size: int = BLOCK) -> DataFrame:
+def linked(members: DataFrame, group: str, node: str, weight: str, match: Callable[[pa.Table, int, np.ndarray], np.ndarray], size: int = BLOCK, forest: bool = False) -> DataFrame:
     """For each member and pair of blocks: node, links (sum of weight over the members that match it there), and root (a member it is connected to by matches there).
 
-    match(rows, i, j) tells for index arrays i < j which pairs match. Rows out are as many as members in blocks, whatever the number of links."""
+    match(rows, i, js) tells which of the rows js match row i. Rows out are as many as members in blocks, whatever the number of links. forest:
+    only what is connected counts, not how often, so pairs already connected aren't matched and links is no count."""
     kind = dict(members.dtypes)[node]
 
     def check(key: tuple, t: pa.Table) -> pa.Table:
@@ -75,6 +76,18 @@ def linked(members: DataFrame, group: str, node: str, weight: str, match: Callab
         found: list[tuple[np.ndarray, np.ndarray]] = []
         for k, i in enumerate(li):
             j = ri[k + 1 :] if same else ri
+            if forest:
+                # a few at a time: one match with a component settles all of it
+                j, step = j[root[j] != root[i]], 4
+                while len(j):
+                    head, j = j[:step], j[step:]
+                    head = head[match(t, i, head)]
+                    if len(head):
+                        joined = np.append(root[head], root[i])
+                        root[np.isin(root, joined)] = joined.min()
+                        j = j[root[j] != root[i]]
+                    step *= 4
+                continue
             if len(j):
                 j = j[match(t, i, j)]
                 links[i] += w[j].sum()

@@ -457,6 +457,8 @@ def test_levenshtein():
     for _ in range(300):
         a, b = ("".join(rng.choice("abé") for _ in range(rng.randrange(90))) for _ in range(2))
         assert line_dedup.levenshtein(a, b) == edit_distance(a, b)
+        for least in (0.8, 0.5, 0.3):
+            assert line_dedup.similar(a, b, least) == (edit_distance(a, b) <= (1 - least) * max(len(a), len(b)) + 1e-9)
 
 
 def brute_lines(rows):
