@@ -2,9 +2,9 @@
 
 Units are the spans of a text that could be personal data: runs around an `@`, and groups of digits with single separators. Each unit is a
 variable with the labels none, email, ip, card, phone. Node potentials come from its shape, chain potentials tie it to the unit before it, and
-skip potentials tie units of the same document with equal normal form or equal last digits, however far apart; equal units are tied to the next
-one, so k copies have k - 1 ties. Units that a base pattern covers are observed. Loopy sum-product passes messages between the others; a unit
-whose marginal reaches SURE, for a label its form allows, becomes a span, and so a number written once with its country code and elsewhere without it is found twice.
+skip potentials tie units of the same document with equal normal form or equal last digits, however far apart. Units that a base pattern covers are
+observed. Each copy of an observed unit is tied to one itself (the last before it, else the first); where none is observed, to the next copy: k
+copies have k - 1 ties. Loopy sum-product passes messages between the others until they settle; a unit whose marginal reaches SURE, for a label its form allows, becomes a span, and so a number written once with its country code and elsewhere without it is found twice.
 
 Weights are learned by pseudo-likelihood (softmax regression on shape, neighbour label and tied labels, with shapes dropped at random so that
 ties have to explain) on a sample of at most SAMPLE rows that have a digit or `@`, with the base patterns as labels.
@@ -28,7 +28,9 @@ from .common import bounded_sample
 
 KINDS = ("email", "ip", "card", "phone")
 #: PRIOR: what a tie weighs for agreement before data speak: equal identifiers of a document are nearly always of one kind.
-SAMPLE, SURE, ROUNDS, PRIOR = 2000, 0.9, 8, 10.0
+SAMPLE, SURE, PRIOR = 2000, 0.9, 10.0
+#: Messages have settled if none moves by more; the rounds only end what would never settle.
+SETTLED, ROUNDS = 1e-4, 2000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -121,7 +123,7 @@ def _graph(texts: list[str]) -> dict[str, np.ndarray]:
     """Units of all texts, their shapes, base labels, and the chain and skip ties between them."""
     doc, start, end, label, shapes, allowed, chain, skip = [], [], [], [], [], [], [], []
     for d, text in enumerate(texts):
-        base, k, before = base_spans(text), 0, {}
+        base, k, copies = base_spans(text), 0, {}
         first = len(doc)
         for s, e in _units(text):
             while k < len(base) and base[k][2] <= s:
@@ -135,9 +137,16 @@ def _graph(texts: list[str]) -> dict[str, np.ndarray]:
             u = text[s:e].lower()
             digits = "".join(c for c in u if c.isdigit())
             for key in {u, digits[-7:] if "@" not in u and len(digits) >= 7 else u}:
-                if key in before:
-                    skip.append((before[key], i))
-                before[key] = i
+                copies.setdefault(key, []).append(i)
+        for same in copies.values():
+            anchor = next((i for i in same if label[i]), None)
+            for j, i in enumerate(same):
+                if anchor is None:
+                    skip.extend([(same[j - 1], i)] if j else [])
+                elif i != anchor:
+                    skip.append((anchor, i))
+                if label[i]:
+                    anchor = i
     x = np.zeros((len(doc), N_SHAPE), np.float32)
     for i, f in enumerate(shapes):
         x[i, f] = 1
@@ -178,7 +187,7 @@ def marginals(g: dict[str, np.ndarray], w: dict[str, np.ndarray], rounds: int =
     n_lab = w["node"].shape[1]
     phi = np.where(g["allowed"], g["x"] @ w["node"], -1e3)
     seen = g["label"] > 0
-    phi[seen] = -1e3
+    phi[seen] = -1e9  # whatever the number of copies that say otherwise
     phi[seen, g["label"][seen]] = 0
     edges = np.concatenate([g["chain"], g["skip"]])
     psi = np.concatenate([np.repeat(w["chain"][None], len(g["chain"]), 0), np.repeat(np.eye(n_lab)[None] * w["skip"], len(g["skip"]), 0)])
@@ -188,11 +197,15 @@ def marginals(g: dict[str, np.ndarray], w: dict[str, np.ndarray], rounds: int =
     for _ in range(rounds if len(edges) else 0):
         new_right = _lse((belief[a] - left)[:, :, None] + psi, 1)
         new_left = _lse((belief[b] - right)[:, None, :] + psi, 2)
-        right = 0.5 * right + 0.5 * (new_right - new_right.max(1, keepdims=True))
-        left = 0.5 * left + 0.5 * (new_left - new_left.max(1, keepdims=True))
+        new_right = 0.5 * right + 0.5 * (new_right - new_right.max(1, keepdims=True))
+        new_left = 0.5 * left + 0.5 * (new_left - new_left.max(1, keepdims=True))
+        moved = max(np.abs(new_right - right).max(), np.abs(new_left - left).max())
+        right, left = new_right, new_left
         belief = phi.copy()
         np.add.at(belief, b, right)
         np.add.at(belief, a, left)
+        if moved <= SETTLED:
+            break
     p = np.exp(belief - belief.max(1, keepdims=True))
     return p / p.sum(1, keepdims=True)
 
