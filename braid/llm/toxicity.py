@@ -3,8 +3,8 @@
 score = sigmoid(bias + sum of weights + sum over pairs of terms of the inner product of their factors), terms being the distinct words of a text
 (letters and digits, lower case) hashed to 2**BITS buckets. The pair term lets two words count together as no sum of their own weights can.
 
-Learned on at most about ROWS labelled rows. Buckets whose share among toxic and other rows differs by Z standard errors take part (TERMS of
-them at most, the farthest apart); the rest score nothing, so the many words that occur once add no noise.
+Learned on at most about ROWS labelled rows. Every bucket that occurs in them has a weight and factors: a term whose share is the same in both
+classes can still count in a pair. Weights and factors are held near zero by L2, so the many words that occur once add little noise.
 
 Empty and null texts score the bias. Several labels of a document: toxic if any says so. Null labels teach nothing. Without labels of both
 kinds every score is the share of toxic labels (0 without any). Repeated rows are scored each by itself; ids and other columns are no inputs.
@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_sample, crc_mod
-from .numtext import SYMBOLS, U, groups, list_of, words
+from .numtext import SYMBOLS, U, groups, list_of, slices, words
 
-BITS, ROWS, TERMS, FACTORS, Z = 18, 12_000, 1024, 8, 5.0
+BITS, ROWS, FACTORS, L2 = 18, 12_000, 8, 5e-4
 
 
 def _terms(text: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -66,32 +66,28 @@ def train(y: np.ndarray, terms: np.ndarray, sizes: np.ndarray, seed: int = 11, e
     none = {"bias": float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))), "index": index, "w": np.zeros(0), "v": np.zeros((0, FACTORS))}
     if not 0 < share < 1:
         return none
-    row = np.repeat(np.arange(len(y)), sizes)
-    pos = np.bincount(terms, y[row], 1 << BITS)
-    neg = np.bincount(terms, 1 - y[row], 1 << BITS)
-    n1, n0 = y.sum(), len(y) - y.sum()
-    p = (pos + neg) / len(y)
-    z = np.abs(pos / n1 - neg / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
-    z[pos + neg < 5] = 0
-    chosen = np.argsort(-z, kind="stable")[:TERMS]
-    chosen = np.sort(chosen[z[chosen] >= Z])
+    chosen = np.unique(terms)
     if not len(chosen):
         return none
     index[chosen] = np.arange(len(chosen))
-    x = np.zeros((len(y), len(chosen)), np.float32)
-    col = index[terms]
-    x[row[col >= 0], col[col >= 0]] = 1
+    col, first, n_col = index[terms], np.cumsum(sizes) - sizes, len(chosen)
     rng = np.random.default_rng(seed)
-    par = [np.array([none["bias"]]), np.zeros(len(chosen)), rng.normal(0, 0.05, (len(chosen), FACTORS))]
+    par = [np.array([none["bias"]]), np.zeros(n_col), rng.normal(0, 0.02, (n_col, FACTORS))]
     m, s, t = [np.zeros_like(q) for q in par], [np.zeros_like(q) for q in par], 0
     for _ in range(epochs):
         order = rng.permutation(len(y))
         for k in range(0, len(order), 512):
-            xb, yb = x[order[k : k + 512]], y[order[k : k + 512]]
-            xv = xb @ par[2]
-            out = par[0] + xb @ par[1] + 0.5 * ((xv**2).sum(1) - xb @ (par[2] ** 2).sum(1))
-            g = (1 / (1 + np.exp(-np.clip(out, -30, 30))) - yb) / len(yb)
-            grads = [np.array([g.sum()]), xb.T @ g + 1e-4 * par[1], xb.T @ (g[:, None] * xv) - par[2] * (xb.T @ g)[:, None] + 1e-4 * par[2]]
+            rows = order[k : k + 512]
+            n, yb = len(rows), y[rows]
+            c, r = col[slices(first[rows], sizes[rows])], np.repeat(np.arange(n), sizes[rows])
+            vc = par[2][c]
+            xv = np.stack([np.bincount(r, vc[:, f], n) for f in range(FACTORS)], 1)
+            out = par[0] + np.bincount(r, par[1][c], n) + 0.5 * ((xv**2).sum(1) - np.bincount(r, (vc**2).sum(1), n))
+            g = (1 / (1 + np.exp(-np.clip(out, -30, 30))) - yb) / n
+            one = np.bincount(c, g[r], n_col)
+            gxv = (g[:, None] * xv)[r]
+            two = np.stack([np.bincount(c, gxv[:, f], n_col) for f in range(FACTORS)], 1) - par[2] * one[:, None]
+            grads = [np.array([g.sum()]), one + L2 * par[1], two + L2 * par[2]]
             t += 1
             for i in range(3):
                 m[i] = 0.9 * m[i] + 0.1 * grads[i]

@@ -1,0 +1,20 @@
+"""op5: terms that say nothing alone count in pairs."""
+
+import numpy as np
+
+from braid.llm import toxicity
+
+
+def test_pair_of_terms_with_equal_shares():
+    """Toxic is who has just one of two terms, so either term's share is a half in both classes."""
+    rng = np.random.default_rng(24)
+    y, terms, sizes = [], [], []
+    for k in range(3000):
+        a, b = k % 2, k // 2 % 2
+        t = sorted({*([10] if a else []), *([20] if b else []), *rng.integers(100, 5000, 8)})
+        y.append(float(a != b)), terms.extend(t), sizes.append(len(t))
+    m = toxicity.train(np.array(y), np.array(terms), np.array(sizes), epochs=60)
+    i, j = m["index"][10], m["index"][20]
+    assert i >= 0 and j >= 0
+    assert m["bias"] < 0 and m["bias"] + m["w"][i] > 0 and m["bias"] + m["w"][j] > 0
+    assert m["bias"] + m["w"][i] + m["w"][j] + m["v"][i] @ m["v"][j] < 0
