@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import chat_tree, decontamination, language_id, line_dedup, mixing, ngram_join, pii, quality_rules, substring_dedup, toxicity
 from .common import crc_mod, table
@@ -57,8 +56,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.without_lines(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), "text")
+    out, lines, gone = line_dedup.without_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", lines.alias("n_lines"), gone.alias("n_removed"), "text")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

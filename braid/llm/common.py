@@ -8,11 +8,13 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows up to which a side of a join may be broadcast: ids and short numbers, 64 MB at most. Beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
+#: Bytes up to which a side with lists may be broadcast.
+BROADCAST_BYTES = 1 << 26
 
 
 def ship(spark: SparkSession) -> None:
@@ -71,6 +73,19 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def small_bytes(df: DataFrame, size: Column, most: int = BROADCAST_BYTES) -> DataFrame:
+    """df, marked for broadcast if its rows, of `size` bytes each, take no more than `most`; else as it is, and the join shuffles. df is a stored table."""
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= most else df
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def text_column(name: str = "text"):
     """A text with null read as empty."""
     return F.coalesce(F.col(name), F.lit(""))

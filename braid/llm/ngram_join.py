@@ -5,8 +5,8 @@ hash. Two documents are linked if the Jaccard similarity of their shingle sets i
 wanted at the threshold, with as many rows as MOST_HASHES allow, since more rows mean fewer false candidates.
 
 Texts of the same words are one text: of a group of copies only the first is banded, and a copy counts as a link without being paired. Band
-buckets become candidate groups (components of the bucket graph), whose members' sets meet in bounded pairs of blocks; rows out follow the
-members, not the pairs, and no link is dropped. A hot group is more blocks, not a larger task.
+buckets become candidate groups (components of the bucket graph), whose members' sets meet in bounded pairs of blocks, where size and exact overlap
+alone decide; rows out follow the members, not the pairs, and no link is dropped. A hot group is more blocks, not a larger task.
 
 One row per distinct doc_id: class_id (the least doc_id that links lead to, its own if none) and n_links. Documents without a word link to
 nothing, not even each other. Rows that share a doc_id are one node with all their links. Null ids: class_id null, n_links 0.
@@ -99,39 +99,38 @@ def sketched(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, k1 bigint, k2 bigint, bands array<bigint>")
 
 
-def _sets(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """doc_id, sh (sorted distinct shingles), bands."""
+def _sets(docs: DataFrame) -> DataFrame:
+    """doc_id, sh (sorted distinct shingles)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, raw, bounds in groups(pc.utf8_lower(pc.fill_null(b.column("text"), ""))):
                 sh, size, _, _ = shingles(raw, bounds)
-                h = band_hashes(sh, size, bands, rows)
                 at = np.cumsum(size) - size
                 parts = [np.unique(sh[s : s + n].view(np.int64)) for s, n in zip(at, size, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id")[i:j], list_of(np.concatenate(parts), np.array([len(x) for x in parts])), list_of(h.view(np.int64).ravel(), np.where(size > 0, bands, 0))], ["doc_id", "sh", "bands"]
-                )
+                yield pa.RecordBatch.from_arrays([b.column("doc_id")[i:j], list_of(np.concatenate(parts), np.array([len(x) for x in parts]))], ["doc_id", "sh"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, sh array<bigint>, bands array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, sh array<bigint>")
 
 
-def _matcher(threshold: float, bands: int):
+def _matcher(threshold: float):
     state: dict = {}
 
     def match(t: pa.Table, i: int, j: np.ndarray) -> np.ndarray:
         if state.get("of") is not t:
             sh = t.column("sh").combine_chunks()
+            sh = sh if isinstance(sh, pa.ListArray) else pa.concat_arrays(sh.chunks)
             at = np.asarray(sh.offsets)
-            # shingles numbered within the block: what row i shares with every row is one lookup and one sum over the block
+            # shingles numbered within the bin: what row i shares with a run of rows is one lookup and one sum over the run
             number = np.unique(np.asarray(sh.flatten()), return_inverse=True)[1]
-            state.update(of=t, at=at - at[0], size=np.diff(at), number=number, mark=np.zeros(len(number), bool), bands=np.asarray(t.column("bands").combine_chunks().flatten()).reshape(-1, bands))
+            state.update(of=t, at=at - at[0], size=np.diff(at), number=number, mark=np.zeros(len(number), bool))
         at, size, number, mark = state["at"], state["size"], state["number"], state["mark"]
-        ok = (np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j]) - 1e-9) & (state["bands"][j] == state["bands"][i]).any(1)
+        ok = np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j]) - 1e-9
         if ok.any():
             own = number[at[i] : at[i + 1]]
             mark[own] = True
-            both = np.add.reduceat(mark[number], at[:-1], dtype=np.int64)[j]
+            lo, hi = int(j[0]), int(j[-1]) + 1
+            both = np.add.reduceat(mark[number[at[lo] : at[hi]]], at[lo:hi] - at[lo], dtype=np.int64)[j - lo]
             mark[own] = False
             ok &= both >= threshold * (size[i] + size[j] - both) - 1e-9
         return ok
@@ -148,10 +147,10 @@ def joined(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL
     full = members.groupBy("bucket").agg(F.min("rep").alias("b"), F.max("rep").alias("_m")).where("b < _m").select("bucket", "b")
     cand = stored(components(members.join(full, "bucket").select(F.col("rep").alias("a"), "b").distinct()))
     cand = small(cand)
-    sets = _sets(docs.join(cand.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), bands, rows).where("size(sh) > 0")
+    sets = _sets(docs.join(cand.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")).where("size(sh) > 0")
     weight = reps.groupBy("rep").agg(F.max("copies").alias("copies"))
-    nodes = stored(sets.join(cand.select(F.col("node").alias("doc_id"), F.col("root").alias("cluster")), "doc_id").join(weight, F.col("doc_id") == F.col("rep")).select("cluster", "doc_id", "copies", "sh", "bands"))
-    checked = stored(linked(nodes, "cluster", "doc_id", "copies", _matcher(threshold, bands)))
+    nodes = stored(sets.join(cand.select(F.col("node").alias("doc_id"), F.col("root").alias("cluster")), "doc_id").join(weight, F.col("doc_id") == F.col("rep")).select("cluster", "doc_id", "copies", "sh"))
+    checked = stored(linked(nodes, "cluster", "doc_id", "copies", _matcher(threshold), nodes.count()))
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
     classes = components(checked.select(F.col("node").alias("a"), F.col("root").alias("b")))
     of_rep = stored(reps.select("rep").distinct().join(links, F.col("rep") == F.col("node"), "left").drop("node").join(classes, F.col("rep") == F.col("node"), "left").select("rep", F.coalesce("root", "rep").alias("root"), F.coalesce("links", F.lit(0)).alias("links")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -72,17 +73,43 @@ def separators(chars: str | None = None) -> np.ndarray:
     return t
 
 
+@lru_cache(maxsize=2)
+def _beyond_ascii(kind: str) -> np.ndarray:
+    """By code point: whether a character separates."""
+    of = str.isalnum if kind == "word" else (lambda c: not c.isspace())
+    return np.fromiter((not of(chr(i)) for i in range(0x110000)), bool, 0x110000)
+
+
+def separating(raw: np.ndarray, kind: str) -> np.ndarray:
+    """Which bytes of UTF-8 texts are of characters that separate. kind 'word': all but letters and digits of any script; 'token': white space."""
+    out = (SYMBOLS if kind == "word" else _BLANKS)[raw]
+    lead = np.flatnonzero(raw >= 0xC0)
+    if len(lead):
+        b = raw[lead]
+        size = 2 + (b >= 0xE0).astype(np.int64) + (b >= 0xF0)
+        point = np.where(b >= 0xF0, b & 0x07, np.where(b >= 0xE0, b & 0x0F, b & 0x1F)).astype(np.int64)
+        for k in range(1, 4):
+            more = np.flatnonzero(size > k)
+            point[more] = point[more] << 6 | (raw[lead[more] + k] & 0x3F)
+        cut = _beyond_ascii(kind)[np.minimum(point, 0x10FFFF)]
+        out[slices(lead[cut], size[cut])] = True
+    return out
+
+
 SPACES = separators(" \t\n\x0b\x0c\r")
 SYMBOLS = separators()
+_BLANKS = separators(" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f")
+
 
+def words(buf: np.ndarray, bounds: np.ndarray, sep: np.ndarray, flags: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal runs of bytes that don't separate, never across bounds: starts, ends, 64-bit hashes, and index of the text each is in.
 
-def words(buf: np.ndarray, bounds: np.ndarray, sep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Maximal runs of bytes that don't separate, never across bounds: starts, ends, 64-bit hashes, and index of the text each is in."""
+    sep: which byte values separate, or (flags) which bytes of buf do."""
     n = len(buf)
     if n == 0:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(0, U), z
-    inside = ~sep[buf]
+    inside = ~(sep if flags else sep[buf])
     cut = bounds[1:-1]
     cut = cut[cut < n]
     before = np.empty(n, bool)
