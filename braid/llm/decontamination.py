@@ -7,61 +7,66 @@ Items are partitioned by size (powers of two of their shingle count). A MinHash
 item (their Jaccard similarity is about the ratio of their sizes), so, as in containment MinHash (Koslicki and Zabeti 2019), the item is
 sketched by its least hashes and those are looked up among all shingles of the document. The sketch size follows from the partition: of n
 shingles at most (1 - threshold) * n are missing from a containing document, so that many plus one sketch hashes can't all be missing. The
-search therefore loses nothing, and documents too short for a partition aren't looked at. Each hit is verified on the full shingle sets.
+search therefore loses nothing. What it finds is verified on the full shingle sets: documents with a hit are read again and shingles shared are
+counted for each document and item. Sides that are looked up are broadcast while they have few rows (of numbers); beyond that hashes meet by
+shuffle, by the same plan.
 
-The items are broadcast while they are few (a proven bound); beyond it hashes are joined by shuffle. Items under five words have no shingle and
-match nothing; null and empty texts likewise. Rows with a null doc_id are searched as well. Repeated rows give one match.
+Items under five words have no shingle and match nothing; null and empty texts likewise. Rows are told apart by id and text, so rows of an id with
+different texts are searched one by one, null ids too, and repeated rows give one match; of several matches of a doc_id and item_id the one that
+shares most is returned. Other columns of docs and items are not read. An empty table gives no match.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small, stored
+from .common import BROADCAST_ROWS, fresh, small, stored
 
 WORDS, THRESHOLD = 5, 0.8
-#: Sketch rows that may be broadcast: each carries its item's shingles.
-SKETCH_ROWS = 50_000
 
 
-def shingled(rows: DataFrame, key: str, text: str = "text", n: int = WORDS) -> DataFrame:
-    """key and the distinct shingle hashes of text."""
-    words = F.expr(f"split(trim(regexp_replace(lower(coalesce({text}, '')), '[^\\\\p{{L}}\\\\p{{N}}]+', ' ')), ' ')")
-    hashes = F.expr(f"case when size(_w) >= {n} then array_distinct(element_at(transform(array(_w), w -> transform(sequence(1, size(w) - {n - 1}), i -> xxhash64(slice(w, i, {n})))), 1)) else cast(array() as array<bigint>) end")
-    return rows.select(F.col(key), words.alias("_w")).select(key, hashes.alias("sh"))
+def shingled(rows: DataFrame, key: str, n: int = WORDS) -> DataFrame:
+    """The id as `key`, `of` (hash of the text), h: a row for each shingle of a text, repeated ones included."""
+    words = F.expr("split(trim(regexp_replace(lower(coalesce(text, '')), '[^\\\\p{L}\\\\p{N}]+', ' ')), ' ')")
+    run = ", ".join(f"_w[i + {k}]" for k in range(n))
+    hashes = F.expr(f"case when size(_w) >= {n} then transform(sequence(0, size(_w) - {n}), i -> xxhash64({run})) end")
+    some = rows.select(F.col(key), F.xxhash64("text").alias("of"), F.transform(words, lambda w: F.xxhash64(w)).alias("_w"))
+    # an outer explode: for the inner one the optimizer would add a filter that hashes all shingles once more
+    return some.select(key, "of", F.explode_outer(hashes).alias("h")).where("h is not null")
 
 
-def sketches(items: DataFrame, threshold: float = THRESHOLD, n: int = WORDS) -> DataFrame:
-    """h, item_id, item_sh, needed: a row for each hash in an item's sketch."""
-    s = shingled(items, "item_id", n=n).where("size(sh) > 0")
-    partition = F.expr("cast(pow(2, ceil(log2(size(sh)))) as int)")
-    size = F.least(F.size("sh"), F.floor(F.col("_part") * F.lit(1 - threshold) + 1e-9).cast("int") + 1)
-    needed = F.ceil(F.size("sh") * F.lit(threshold) - 1e-9).cast("int")
-    s = s.withColumn("_part", partition)
-    return s.select("item_id", F.col("sh").alias("item_sh"), needed.alias("needed"), F.explode(F.slice(F.sort_array("sh"), F.lit(1), size)).alias("h"))
+def sketches(items: DataFrame, threshold: float = THRESHOLD, n: int = WORDS) -> tuple[DataFrame, DataFrame]:
+    """item_id, of, n_item, needed, h: a row for each distinct shingle hash of an item; and those in its sketch."""
+    each = Window.partitionBy("item_id", "of")
+    sets = shingled(items, "item_id", n).distinct().withColumn("n_item", F.count("*").over(each)).withColumn("rank", F.row_number().over(each.orderBy("h")))
+    sets = stored(sets.withColumn("needed", F.ceil(F.col("n_item") * F.lit(threshold) - 1e-9)))
+    partition = F.pow(F.lit(2), F.ceil(F.log2("n_item")))
+    return sets, sets.where(F.col("rank") <= F.floor(partition * F.lit(1 - threshold) + 1e-9) + 1)
 
 
-def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int = WORDS, sketch_rows: int = SKETCH_ROWS) -> DataFrame:
+def found(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int = WORDS) -> DataFrame:
+    """doc_id, of, item_id, n_item, n_shared: for each pair of a document's text and an item's that contain each other to the threshold."""
+    sets, sketch = sketches(items, threshold, n)
+    hits = shingled(docs, "doc_id", n).join(small(sketch.select("h").distinct(), BROADCAST_ROWS), "h").select(F.col("doc_id").alias("_id"), F.col("of").alias("_of"))
+    hits = small(stored(hits.distinct()), BROADCAST_ROWS)
+    some = docs.select("doc_id", "text").join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_of")), "left_semi")
+    theirs = small(sets.select("item_id", F.col("of").alias("item_of"), "n_item", "needed", "h"), BROADCAST_ROWS)
+    shared = shingled(some, "doc_id", n).distinct().join(theirs, "h").groupBy("doc_id", "of", "item_id", "item_of", "n_item", "needed").agg(F.count("*").alias("n_shared"))
+    return shared.where("n_shared >= needed").select("doc_id", "of", "item_id", F.col("n_item").cast("int").alias("n_item"), F.col("n_shared").cast("int").alias("n_shared"))
+
+
+def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int = WORDS) -> DataFrame:
     """doc_id, item_id, n_item, n_shared: every pair with n_shared / n_item >= threshold, once."""
-    sk = stored(sketches(items, threshold, n))
-    d = shingled(docs.select("doc_id", "text"), "doc_id", n=n).where("size(sh) > 0")
-    shared = F.size(F.array_intersect("item_sh", "sh"))
-    if sk.count() <= sketch_rows:
-        hits = d.select("doc_id", "sh", F.explode("sh").alias("h")).join(F.broadcast(sk), "h").where("size(sh) >= needed")
-    else:
-        pairs = d.select("doc_id", F.size("sh").alias("_n"), F.explode("sh").alias("h")).join(sk.select("h", "item_id", "needed"), "h").where("_n >= needed").select("doc_id", "item_id").distinct()
-        whole = shingled(items, "item_id", n=n).select("item_id", F.col("sh").alias("item_sh"), F.ceil(F.size("sh") * F.lit(threshold) - 1e-9).cast("int").alias("needed"))
-        sets = d.select(F.col("doc_id").alias("_doc"), "sh")
-        hits = pairs.join(whole, "item_id").join(sets, F.col("doc_id").eqNullSafe(F.col("_doc"))).select("doc_id", "item_id", "item_sh", "needed", "sh")
-    found = hits.select("doc_id", "item_id", F.size("item_sh").alias("n_item"), shared.alias("n_shared"), "needed").where("n_shared >= needed")
-    return found.groupBy("doc_id", "item_id").agg(F.max("n_item").alias("n_item"), F.max("n_shared").alias("n_shared"))
+    best = found(docs, items, threshold, n).groupBy("doc_id", "item_id").agg(F.max(F.struct("n_shared", "n_item")).alias("best"))
+    return best.select("doc_id", "item_id", "best.n_item", "best.n_shared")
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs without those that contain an item. Rows with a null doc_id can't be told apart and stay."""
-    bad = stored(contained(docs, items, threshold).where("doc_id is not null").select("doc_id").distinct())
-    return docs.join(small(bad), "doc_id", "left_anti").select(docs.columns)
+    """docs without those that contain an item, all columns kept."""
+    id_, of = fresh(docs, "id"), fresh(docs, "of")
+    bad = small(stored(found(docs, items, threshold).select(F.col("doc_id").alias(id_), F.col("of").alias(of)).distinct()))
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(of)), "left_anti")
 
 
 def oracle(threshold: float = THRESHOLD, n: int = WORDS) -> str:

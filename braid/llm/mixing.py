@@ -3,7 +3,7 @@
 A source's target share is its weight over the sum of weights; its rate is the mean number of copies that one of its rows needs for that
 share of `total` rows. Each row inverts a Poisson distribution of that mean at a number in [0, 1) hashed from seed and doc_id, is exploded by
 the count, and all copies are shuffled globally. A rate over PIECE_RATE is a sum of equal pieces with a number each, so exp(-rate) never
-underflows. Only the sources (a row each) are joined to the rows, by broadcast while they are few; a hot source therefore moves nowhere but
+underflows. Only the sources (a row each) are joined to the rows, by broadcast while their bytes are few; a hot source therefore moves nowhere but
 in the final shuffle, which deals out by a hash of doc_id and copy.
 
 Null source: a source of its own, named ''. Null doc_id: hashed as the text `null`. Repeated rows get the same count. Without rows: no rows.
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, stored
+from .common import fresh, small_bytes, stored
 
 PIECE_RATE = 256.0
 
@@ -46,16 +46,18 @@ def _uniform(seed: str, j) -> str:
 
 
 def mixed(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = 0.5, total: int | None = None, seed: str = "mix") -> DataFrame:
-    """The rows of docs, each as often as its count, with `copy` numbered from 1, shuffled globally. Columns of docs named like ours win: ours end in _mix then."""
+    """The rows of docs, each as often as its count, with `copy` numbered from 1, shuffled globally. Columns of docs stay, whatever their names: where
+    there is a `copy`, ours has underscores before it."""
     if "'" in seed or "\\" in seed:
         raise ValueError("a seed has no quotes or backslashes")
-    r = small(stored(rates(docs, weights, temperature, total).select(F.col("source").alias("_source_mix"), "pieces", "cdf").select("_source_mix", F.struct("pieces", "cdf").alias("_rate_mix"))), 100_000)
-    count = F.expr(f"cast(aggregate(sequence(1, _rate_mix.pieces), 0, (a, j) -> a + size(filter(_rate_mix.cdf, c -> c <= {_uniform(seed, 'j')}))) as int)")
-    copy = "copy" if "copy" not in docs.columns else "copy_mix"
-    one = docs.join(r, F.coalesce(docs["source"], F.lit("")) == r["_source_mix"]).select(docs["*"], count.alias("_n_mix")).where("_n_mix > 0")
-    many = one.withColumn(copy, F.explode(F.expr("sequence(1, _n_mix)"))).drop("_n_mix")
-    key = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col(copy))
-    return many.withColumn("_key_mix", key).repartition("_key_mix").sortWithinPartitions("_key_mix").drop("_key_mix")
+    source, rate, times, key, copy = (fresh(docs, c) for c in ("source_", "rate", "times", "key", "copy"))
+    r = stored(rates(docs, weights, temperature, total).select(F.col("source").alias(source), F.struct("pieces", "cdf").alias(rate)))
+    r = small_bytes(r, F.size(F.col(rate)["cdf"]) * 8 + F.octet_length(source) + 64)
+    count = F.expr(f"cast(aggregate(sequence(1, `{rate}`.pieces), 0, (a, j) -> a + size(filter(`{rate}`.cdf, c -> c <= {_uniform(seed, 'j')}))) as int)")
+    one = docs.join(r, F.coalesce(F.col("source"), F.lit("")) == F.col(source)).withColumn(times, count).where(F.col(times) > 0)
+    many = one.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col(times))).alias(copy))
+    many = many.withColumn(key, F.xxhash64(F.lit(seed), F.col("doc_id"), F.col(copy)))
+    return many.repartition(key).sortWithinPartitions(key).drop(key)
 
 
 def oracle(temperature: float = 0.5, seed: str = "mix") -> str:
