@@ -37,17 +37,21 @@ def overlaps(a: Column, b: Column) -> Column:
 
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], start: str, end: str, bucket: float, how: str = "inner") -> DataFrame:
-    """Pairs of rows with equal keys whose intervals [start, end) share positive length; how: inner, or left_semi.
+    """Pairs of rows with equal keys whose intervals [start, end) share positive length; how: inner, or left_semi (equal left rows stay as many as they are).
 
     Both sides are dealt to the buckets of a grid that they touch and joined there on keys and bucket, so no key is compared all against all.
     A pair is made in the one bucket where it starts."""
     spread = lambda df: df.where(F.col(end) > F.col(start)).withColumn("_bucket", F.explode(F.sequence(F.floor(F.col(start) / bucket), F.ceil(F.col(end) / bucket) - 1)))
+    columns = [F.col(f"`{c}`") for c in left.columns]
+    if how == "left_semi":
+        # a row lies in several buckets, so matches are made distinct; equal rows are counted before
+        left = left.groupBy(*columns).agg(F.count("*").alias("_copies"))
     a = spread(left).alias("a")
     b = spread(right.select(*keys, F.col(start).alias("_rs"), F.col(end).alias("_re"), *[F.col(c).alias(f"right_{c}") for c in right.columns if c not in keys]).withColumnsRenamed({"_rs": start, "_re": end}))
     b = b.withColumnsRenamed({start: "_rs", end: "_re"}).alias("b")
     on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [F.col("a._bucket") == F.col("b._bucket"), F.greatest(F.col(f"a.{start}"), F.col("b._rs")) < F.least(F.col(f"a.{end}"), F.col("b._re"))]
     if how == "left_semi":
-        return a.join(b, on, "left_semi").select(left.columns).distinct()
+        return a.join(b, on, "left_semi").drop("_bucket").distinct().withColumn("_copies", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*columns)
     first = F.floor(F.greatest(F.col(f"a.{start}"), F.col("b._rs")) / bucket) == F.col("a._bucket")
     return a.join(b, on).where(first).select(*[F.col(f"a.{c}") for c in left.columns], *[F.col(f"b.right_{c}") for c in right.columns if c not in keys])
 

@@ -171,19 +171,27 @@ def _cells(df: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, fields: list[str] | None = None) -> None:
-    """A declared list of columns, missing ones empty. Readers see the old files or the new ones: rows go to a folder beside it, which then takes its place."""
+    """A declared list of columns, missing ones empty. Rows go to a folder beside it, which then takes its place; see `swap`."""
     swap(_cells(df, fields or df.columns).write.option("header", True).option("emptyValue", "").option("escape", '"'), df.sparkSession, path, "csv")
 
 
 def swap(writer, spark: SparkSession, path: str, kind: str) -> None:
+    """Write a folder beside path and put it in its place. The old one is renamed aside first and goes last, so a crash at any time loses neither; between
+    the two renames path is missing, and a failed second rename puts the old one back."""
     beside = f"{path}.{uuid.uuid4().hex}"
     writer.format(kind).save(beside)
     fs, target = _fs(spark, path)
     _, new = _fs(spark, beside)
-    if fs.exists(target):
-        fs.delete(target, True)
+    _, old = _fs(spark, f"{beside}.old")
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"can't rename {path} aside")
     if not fs.rename(new, target):
+        if had:
+            fs.rename(old, target)
         raise OSError(f"can't rename {beside} to {path}")
+    if had:
+        fs.delete(old, True)
 
 
 def json_lines(df: DataFrame) -> DataFrame:

@@ -95,6 +95,8 @@ def test_overlap(spark):
     j = intervals.overlap_join(df(a), df(b), ["k"], "s", "e", 40.0).collect()
     assert {(r.id, r.right_id) for r in j} == want and len(j) == len(want)
     semi = intervals.overlap_join(df(a), df(b), ["k"], "s", "e", 40.0, "left_semi").collect()
+    twice = intervals.overlap_join(df(a).unionByName(df(a)), df(b), ["k"], "s", "e", 40.0, "left_semi").collect()
+    assert sorted(map(tuple, twice)) == sorted(map(tuple, semi + semi))
     assert {r.id for r in semi} == {x for x, _ in want}
 
 
