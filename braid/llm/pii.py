@@ -1,13 +1,14 @@
 """PII: base patterns, and a skip-chain conditional random field that carries their labels to tokens the patterns miss.
 
-Units are the spans of a text that could be personal data: runs around an `@`, and groups of digits with single separators. Each unit is a
-variable with the labels none, email, ip, card, phone. Node potentials come from its shape, chain potentials tie it to the unit before it, and
+Units are the spans of a text that could be personal data: runs around an `@`, groups of digits with single separators (at its spaces, where a group
+is too long for any number and its parts aren't), and runs of 16 or more letters, digits, `_` and `-` that mix letters and digits. Each unit is a variable with the labels none, email, ip, card, phone, secret. Node potentials come from its shape, chain potentials tie it to the unit before it, and
 skip potentials tie units of the same document with equal normal form or equal last digits, however far apart. Units that a base pattern covers are
-observed. Each copy of an observed unit is tied to one itself (the last before it, else the first); where none is observed, to the next copy: k
+observed, and so are mixed runs that a word such as `token` or `password` introduces, as secrets. Each copy of an observed unit is tied to one itself (the last before it, else the first); where none is observed, to the next copy: k
 copies have k - 1 ties. Loopy sum-product passes messages between the others until they settle; a unit whose marginal reaches SURE, for a label its form allows, becomes a span, and so a number written once with its country code and elsewhere without it is found twice.
 
 Weights are learned by pseudo-likelihood (softmax regression on shape, neighbour label and tied labels, with shapes dropped at random so that
-ties have to explain) on a sample of at most SAMPLE rows that have a digit or `@`, with the base patterns as labels.
+ties have to explain) on a sample of at most SAMPLE rows that have a digit or `@`, with what is observed as labels: a form that is nearly always introduced as a secret
+is one without the word, too.
 
 Null and empty texts have no spans. Repeated rows are treated each by itself; only doc_id and text are read. Texts without digit or `@` can't
 hold a unit and stay in the JVM. Every pattern is matched in time linear in the text.
@@ -18,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,8 @@ from pyspark.sql import functions as F
 from .common import bounded_sample
 
 KINDS = ("email", "ip", "card", "phone")
+#: What a unit can be: the base kinds, and credentials, which only the field finds.
+LABELS = (*KINDS, "secret")
 #: PRIOR: what a tie weighs for agreement before data speak: equal identifiers of a document are nearly always of one kind.
 SAMPLE, SURE, PRIOR = 2000, 0.9, 10.0
 #: Messages have settled if none moves by more; the rounds only end what would never settle.
@@ -40,6 +44,11 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NUMBER = re.compile(r"\+?[0-9](?:[ ().-]{0,3}[0-9])*+")
 _AFTER = re.compile(r"[A-Za-z0-9.-]*+")
+_PART = re.compile(r"[^ ]+")
+_MIXED = re.compile(r"[A-Za-z0-9_-]{16,}+")
+#: Words that introduce a credential, with what may stand between them and it. BEFORE characters are looked at.
+_SECRET = re.compile(r"""(?i)(?:token|secret|passw(?:or)?d|passphrase|credentials?|bearer|(?:api|access|private|auth)[ _-]?key)["']?[ \t]{0,2}[=:]?[ \t]{0,2}["']?\Z""")
+BEFORE = 32
 
 
 def luhn(digits: str) -> bool:
@@ -82,6 +91,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _mixed(u: str) -> bool:
+    return any(c.isdigit() for c in u) and any(c.isalpha() for c in u)
+
+
 def _units(text: str) -> list[tuple[int, int]]:
     found, last = [], 0
     for i, at in _around_at(text):
@@ -90,8 +103,12 @@ def _units(text: str) -> list[tuple[int, int]]:
             found.append((max(i, last), end))
             last = end
     for m in _NUMBER.finditer(text):
-        found.append(m.span())
-    found.sort()
+        if sum(c.isdigit() for c in m.group()) > 19 and all(sum(c.isdigit() for c in part) <= 19 for part in m.group().split(" ")):
+            found += [(m.start() + part.start(), m.start() + part.end()) for part in _PART.finditer(m.group())]
+        else:
+            found.append(m.span())
+    found += [m.span() for m in _MIXED.finditer(text) if _mixed(m.group())]
+    found.sort(key=lambda x: (x[0], -x[1]))
     out: list[tuple[int, int]] = []
     for s, e in found:
         if not out or s >= out[-1][1]:
@@ -99,7 +116,7 @@ def _units(text: str) -> list[tuple[int, int]]:
     return out
 
 
-N_SHAPE = 20
+N_SHAPE = 26
 
 
 def _allowed(u: str) -> list[bool]:
@@ -107,7 +124,9 @@ def _allowed(u: str) -> list[bool]:
     digits = "".join(c for c in u if c.isdigit())
     mail = "@" in u
     quad = u.count(".") == 3 and u.replace(".", "").isdigit()
-    return [True, mail, quad, not mail and not quad and 14 <= len(digits) <= 19 and luhn(digits), not mail and not quad and 7 <= len(digits) <= 15]
+    if not mail and _mixed(u):
+        return [True, False, False, False, False, len(u) >= 16]
+    return [True, mail, quad, not mail and not quad and 14 <= len(digits) <= 19 and luhn(digits), not mail and not quad and 7 <= len(digits) <= 15, False]
 
 
 def _shape(text: str, s: int, e: int) -> list[int]:
@@ -115,13 +134,16 @@ def _shape(text: str, s: int, e: int) -> list[int]:
     digits = sum(c.isdigit() for c in u)
     f = [0, 1 + min(6, (digits + 2) // 3)]
     f += [8] * ("@" in u) + [9] * u.startswith("+") + [10] * ("." in u) + [11] * (u.count(".") == 3) + [12] * ("-" in u) + [13] * ("(" in u) + [14] * (" " in u)
+    if "@" not in u and _mixed(u):
+        turns = sum(a.isdigit() != b.isdigit() for a, b in pairwise(u))
+        f += [20 + min(2, 8 * turns // len(u))] + [23] * (not u.strip("0123456789abcdefABCDEF")) + [24] * (len(u) >= 32) + [25] * ("_" in u or "-" in u)
     f += [15] * any(c.isalpha() for c in u) + [16] * (s > 0 and text[s - 1].isalnum()) + [17] * (e < len(text) and text[e].isalnum()) + [18] * u.isdigit() + [19] * (digits >= 14)
     return f
 
 
 def _graph(texts: list[str]) -> dict[str, np.ndarray]:
     """Units of all texts, their shapes, base labels, and the chain and skip ties between them."""
-    doc, start, end, label, shapes, allowed, chain, skip = [], [], [], [], [], [], [], []
+    doc, start, end, label, covered, shapes, allowed, chain, skip = [], [], [], [], [], [], [], [], []
     for d, text in enumerate(texts):
         base, k, copies = base_spans(text), 0, {}
         first = len(doc)
@@ -130,7 +152,12 @@ def _graph(texts: list[str]) -> dict[str, np.ndarray]:
                 k += 1
             cover = next((b for b in base[k : k + 4] if b[0] < e and b[2] > s), None)
             i = len(doc)
-            doc.append(d), start.append(s), end.append(e), label.append(0 if cover is None else cover[1] + 1)
+            doc.append(d), start.append(s), end.append(e), covered.append(cover is not None)
+            if cover is None:
+                may = _allowed(text[s:e])[-1]
+                label.append(len(LABELS) if may and _SECRET.search(text[max(0, s - BEFORE) : s]) else 0)
+            else:
+                label.append(cover[1] + 1)
             shapes.append(_shape(text, s, e)), allowed.append(_allowed(text[s:e]))
             if i > first:
                 chain.append((i - 1, i))
@@ -151,12 +178,12 @@ def _graph(texts: list[str]) -> dict[str, np.ndarray]:
     for i, f in enumerate(shapes):
         x[i, f] = 1
     pairs = lambda p: np.array(p, np.int64).reshape(-1, 2)
-    return {"doc": np.array(doc, np.int64), "start": np.array(start, np.int64), "end": np.array(end, np.int64), "label": np.array(label, np.int64), "x": x, "allowed": np.array(allowed, bool).reshape(-1, len(KINDS) + 1), "chain": pairs(chain), "skip": pairs(skip)}
+    return {"doc": np.array(doc, np.int64), "start": np.array(start, np.int64), "end": np.array(end, np.int64), "label": np.array(label, np.int64), "covered": np.array(covered, bool), "x": x, "allowed": np.array(allowed, bool).reshape(-1, len(LABELS) + 1), "chain": pairs(chain), "skip": pairs(skip)}
 
 
 def train(texts: list[str], seed: int = 7, steps: int = 400) -> dict[str, np.ndarray]:
     """Weights: node (shapes x labels), chain (labels x labels), skip (one for agreement)."""
-    g, n_lab, rng = _graph(texts), len(KINDS) + 1, np.random.default_rng(seed)
+    g, n_lab, rng = _graph(texts), len(LABELS) + 1, np.random.default_rng(seed)
     node, chain, skip = np.zeros((N_SHAPE, n_lab)), np.zeros((n_lab, n_lab)), np.full(1, PRIOR)
     y, n = np.eye(n_lab)[g["label"]], max(1, len(g["label"]))
     before, after, tied = np.zeros((n, n_lab)), np.zeros((n, n_lab)), np.zeros((n, n_lab))
@@ -217,13 +244,13 @@ def spans(texts: list[str], w: dict[str, np.ndarray]) -> list[tuple[list[tuple[i
     if len(g["doc"]):
         p = marginals(g, w)
         best = p.argmax(1)
-        for i in np.flatnonzero((g["label"] == 0) & (best > 0) & (p.max(1) >= SURE)):
+        for i in np.flatnonzero(~g["covered"] & (best > 0) & (p.max(1) >= SURE)):
             out[g["doc"][i]][1].append((int(g["start"][i]), int(best[i]) - 1, int(g["end"][i])))
     return out
 
 
 def _text(found: list[tuple[int, int, int]]) -> str:
-    return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(found))
+    return ",".join(f"{LABELS[k]}:{s}:{e}" for s, k, e in sorted(found))
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> dict[str, np.ndarray]:
@@ -233,7 +260,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> dict[str, np.ndarray]:
 
 
 def found(docs: DataFrame, weights: dict[str, np.ndarray]) -> DataFrame:
-    """doc_id, counts of base spans, base_sha256, spans, n_added: a row for each row of docs."""
+    """doc_id, counts of base spans, base_sha256, spans, n_added, n_spans (base and added): a row for each row of docs."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     empty = hashlib.sha256(b"").hexdigest()
 
@@ -251,8 +278,8 @@ def found(docs: DataFrame, weights: dict[str, np.ndarray]) -> DataFrame:
                     digest[i] = hashlib.sha256(_text(base).encode()).hexdigest()
                     all_spans[i] = _text(base + more)
                     added[i] = len(more)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), **{f"n_{k}": counts[j] for j, k in enumerate(KINDS)}, "base_sha256": digest, "spans": all_spans, "n_added": added})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), **{f"n_{k}": counts[j] for j, k in enumerate(KINDS)}, "base_sha256": digest, "spans": all_spans, "n_added": added, "n_spans": counts.sum(0) + added})
 
     some = docs.select("doc_id", F.when(F.col("text").rlike("[0-9@]"), F.col("text")).alias("text"))
     kind = dict(docs.dtypes)["doc_id"]
-    return some.mapInArrow(run, f"doc_id {kind}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_added bigint")
+    return some.mapInArrow(run, f"doc_id {kind}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_added bigint, n_spans bigint")

@@ -119,7 +119,7 @@ def test_pii_ties_carry_labels(spark):
     r = pii.found(frame(spark, EMPTY + [text, text]), w).collect()
     assert len(r) == len(EMPTY) + 2 and all(x.spans == "" for x in r[: len(EMPTY)])
     assert pii.found(frame(spark, []), w).count() == 0
-    assert pii.train([])["node"].shape == (pii.N_SHAPE, 5)
+    assert pii.train([])["node"].shape == (pii.N_SHAPE, 6)
 
 
 # --- 2
@@ -261,6 +261,28 @@ def test_chat_round_trip(spark):
 # --- 5
 
 
+def test_toxicity_pairs_without_margins():
+    """Toxic is one of two words without the other: neither has a share of its own, and only their pair tells."""
+    rng = np.random.default_rng(3)
+
+    def made(n):
+        texts, y = [], []
+        for _ in range(n):
+            a, b = (int(k) for k in rng.integers(0, 2, 2))
+            texts.append(" ".join([f"w{k}" for k in rng.integers(0, 300, 20)] + ["insult"] * a + ["group"] * b))
+            y.append(float(a != b))
+        return texts, np.array(y)
+
+    texts, y = made(4000)
+    terms, sizes = [], []
+    for i, j, row, bucket in toxicity._terms(pa.array(texts)):
+        u = np.unique((row << toxicity.BITS) | bucket)
+        terms.append(u & ((1 << toxicity.BITS) - 1)), sizes.append(np.bincount(u >> toxicity.BITS, minlength=j - i))
+    m = toxicity.train(y, np.concatenate(terms), np.concatenate(sizes))
+    texts, y = made(1000)
+    assert ((toxicity.score_batch(pa.array(texts), m) >= 0.5) == (y > 0)).mean() >= 0.95
+
+
 def test_toxicity_pairs_and_held_out(spark, data):
     rng = np.random.default_rng(9)
     y, terms, sizes = [], [], []
