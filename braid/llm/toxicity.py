@@ -4,7 +4,8 @@ score = sigmoid(bias + sum of weights + sum over pairs of terms of the inner pro
 (letters and digits, lower case) hashed to 2**BITS buckets. The pair term lets two words count together as no sum of their own weights can.
 
 Learned on at most about ROWS labelled rows. Buckets whose share among toxic and other rows differs by Z standard errors take part (TERMS of
-them at most, the farthest apart); the rest score nothing, so the many words that occur once add no noise.
+them at most, the farthest apart), and so do both buckets of a pair that tells the classes apart by being together (`interactions`), whether or not
+either does by itself. The rest score nothing, so the many words that occur once add no noise.
 
 Empty and null texts score the bias. Several labels of a document: toxic if any says so. Null labels teach nothing. Without labels of both
 kinds every score is the share of toxic labels (0 without any). Repeated rows are scored each by itself; ids and other columns are no inputs.
@@ -24,6 +25,9 @@ from .common import bounded_sample, crc_mod
 from .numtext import SYMBOLS, U, groups, list_of, words
 
 BITS, ROWS, TERMS, FACTORS, Z = 18, 12_000, 1024, 8, 5.0
+#: Pairs are looked for among at most PAIR_TERMS buckets, the most evenly spread over rows; a pair's contrast is PAIR_Z standard errors or more, and each of
+#: its four cells has CELL rows or more. PAIRS of them at most, the strongest, take part. STEPS: gradient steps at least, however few the rows.
+PAIR_TERMS, PAIR_Z, CELL, PAIRS, STEPS = 1536, 7.0, 20, 64, 1500
 
 
 def _terms(text: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -60,6 +64,39 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> dict:
     return train(y, np.asarray(lists.flatten()).astype(np.int64), np.diff(np.asarray(lists.offsets)).astype(np.int64))
 
 
+def interactions(y: np.ndarray, row: np.ndarray, terms: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Buckets of pairs whose toxic shares aren't a sum of the two: |s11 - s10 - s01 + s00| in standard errors, over the four cells of with and
+    without. Pairs of `known` buckets are left out, as those take part anyway."""
+    n = np.bincount(terms, minlength=1 << BITS).astype(np.float64)
+    spread = np.minimum(n, len(y) - n)
+    top = np.argsort(-spread, kind="stable")[:PAIR_TERMS]
+    top = np.sort(top[spread[top] >= 2 * CELL])
+    if len(top) < 2:
+        return top[:0]
+    at = np.full(1 << BITS, -1, np.int32)
+    at[top] = np.arange(len(top))
+    col = at[terms]
+    x = np.zeros((len(y), len(top)), np.float32)
+    x[row[col >= 0], col[col >= 0]] = 1
+    toxic = x[y > 0]
+    n1, t1, share = x.sum(0, dtype=np.float64), toxic.sum(0, dtype=np.float64), y.mean()
+    old, found = np.isin(top, known), []
+    for a in range(0, len(top), 256):  # 256 buckets against all
+        n11 = (x[:, a : a + 256].T @ x).astype(np.float64)
+        t11 = (toxic[:, a : a + 256].T @ toxic).astype(np.float64)
+        na, ta = n1[a : a + 256, None], t1[a : a + 256, None]
+        cells = [(t11, n11, 1), (ta - t11, na - n11, -1), (t1 - t11, n1 - n11, -1), (y.sum() - ta - t1 + t11, len(y) - na - n1 + n11, 1)]
+        contrast = sum(sign * t / np.maximum(m, 1) for t, m, sign in cells)
+        error = np.sqrt(share * (1 - share) * sum(1 / np.maximum(m, 1) for _, m, _ in cells))
+        z = np.abs(contrast) / error
+        z[np.minimum.reduce([m for _, m, _ in cells]) < CELL] = 0
+        z[old[a : a + 256, None] & old] = 0
+        z[np.arange(a, a + len(z))[:, None] >= np.arange(len(top))] = 0
+        i, j = np.nonzero(z >= PAIR_Z)
+        found += zip(-z[i, j], i + a, j, strict=True)
+    return np.unique([top[k] for _, i, j in sorted(found)[:PAIRS] for k in (i, j)]).astype(np.int64)
+
+
 def train(y: np.ndarray, terms: np.ndarray, sizes: np.ndarray, seed: int = 11, epochs: int = 40) -> dict:
     index = np.full(1 << BITS, -1, np.int32)
     share = float(y.mean()) if len(y) else 0.0
@@ -74,7 +111,8 @@ def train(y: np.ndarray, terms: np.ndarray, sizes: np.ndarray, seed: int = 11, e
     z = np.abs(pos / n1 - neg / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
     z[pos + neg < 5] = 0
     chosen = np.argsort(-z, kind="stable")[:TERMS]
-    chosen = np.sort(chosen[z[chosen] >= Z])
+    chosen = chosen[z[chosen] >= Z]
+    chosen = np.union1d(chosen, interactions(y, row, terms, chosen))
     if not len(chosen):
         return none
     index[chosen] = np.arange(len(chosen))
@@ -84,7 +122,7 @@ def train(y: np.ndarray, terms: np.ndarray, sizes: np.ndarray, seed: int = 11, e
     rng = np.random.default_rng(seed)
     par = [np.array([none["bias"]]), np.zeros(len(chosen)), rng.normal(0, 0.05, (len(chosen), FACTORS))]
     m, s, t = [np.zeros_like(q) for q in par], [np.zeros_like(q) for q in par], 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-STEPS * 512 // len(y)))):
         order = rng.permutation(len(y))
         for k in range(0, len(order), 512):
             xb, yb = x[order[k : k + 512]], y[order[k : k + 512]]
