@@ -115,3 +115,60 @@ def support_ranges(candidates: DataFrame, ranges: DataFrame, keys: list[str], id
     x = candidates.select(*keys, F.posexplode(ids).alias("_pos", key)).join(ranges.select(key, "start_sec", "end_sec"), key)
     g = x.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_pos", "start_sec", "end_sec"))).alias("_r"))
     return g.select(*keys, F.transform("_r", lambda r: F.struct(r["start_sec"].alias("start_sec"), r["end_sec"].alias("end_sec"))).alias("support"))
+
+
+def verdict_coverage(known: DataFrame, requested: DataFrame, verdicts: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys and a code where verdicts, requests and candidates don't cover each other: every request has one verdict, nothing else has any, and only
+    known candidates are requested. All three are counted in one shuffle."""
+    side = lambda df, name: df.select(*keys, *[F.lit(int(s == name)).alias(s) for s in ("known", "requested", "verdicts")])
+    n = side(known, "known").unionByName(side(requested, "requested")).unionByName(side(verdicts, "verdicts")).groupBy(*keys).agg(*[F.sum(s).alias(s) for s in ("known", "requested", "verdicts")])
+    checks = [
+        constraints.Check("unknown_candidate", "blocking", (F.col("requested") > 0) & (F.col("known") == 0)),
+        constraints.Check("missing_verdict", "blocking", (F.col("requested") > 0) & (F.col("verdicts") == 0)),
+        constraints.Check("unrequested_verdict", "blocking", (F.col("requested") == 0) & (F.col("verdicts") > 0)),
+        constraints.Check("duplicate_verdict", "blocking", F.col("verdicts") > 1),
+    ]
+    return constraints.issues(n, keys, checks).select(*keys, "code")
+
+
+def local_items(first: DataFrame) -> DataFrame:
+    """What the second pass is given of each queued candidate, under the names it expects."""
+    array = lambda x: F.coalesce(F.col(x), F.array().cast(dict(first.dtypes)[x]))
+    return first.where(F.col("qc_status").isin(*QUEUED)).select(
+        F.concat_ws(":", "source_video_id", "candidate_id").alias("record_id"),
+        "source_video_id",
+        "participant_id",
+        "candidate_id",
+        F.col("type").alias("candidate_type"),
+        "claim",
+        "observed_value",
+        array("supporting_window_ids").alias("supporting_window_ids"),
+        array("support").alias("support_ranges"),
+        array("flags").alias("quality_flags"),
+        F.col("verdict").alias("first_pass_verdict"),
+        array("evidence").alias("first_pass_evidence_time_ranges"),
+        array("reason_codes").alias("first_pass_reason_codes"),
+        F.col("reason").alias("first_pass_reason"),
+        "corrected_claim",
+    )
+
+
+def human_review(second: DataFrame) -> DataFrame:
+    """The sheet for people: candidates that need them, with the local verdict's words where there is one, and empty columns to fill in."""
+    word = lambda x: F.coalesce(F.col(x).cast("string"), F.lit(""))
+    said = lambda x: F.when(F.col("local_verdict").isNotNull(), word(f"local_{x}")).otherwise(word(x))
+    listed = lambda x: F.coalesce(F.to_json(x), F.lit("[]"))
+    return second.where("qc_status = 'human_review_required'").select(
+        *[word(x).alias(x) for x in ("source_video_id", "participant_id", "candidate_id")],
+        word("type").alias("candidate_type"),
+        word("claim").alias("claim"),
+        "qc_status",
+        F.col("fingerprint").alias("review_fingerprint"),
+        word("verdict").alias("first_pass_verdict"),
+        word("local_verdict").alias("local_verdict"),
+        listed("flags").alias("quality_flags"),
+        listed("support").alias("support_ranges"),
+        said("corrected_claim").alias("corrected_claim"),
+        said("reason").alias("reason"),
+        *[F.lit("").alias(x) for x in ("human_decision", "approved_claim", "human_notes")],
+    )

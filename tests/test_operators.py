@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from braid.functions import columns as c
 from braid.functions import jsontext
-from braid.operators import audit, constraints, evidence, intervals, normalise, qc, ranking, rules
+from braid.operators import audit, constraints, evidence, intervals, lookups, normalise, qc, ranking, rules
 from braid.sources import adapters, io
 from braid.streaming import incremental
 
@@ -427,3 +427,51 @@ def test_normalised(spark):
     assert got[1:] == [None, None] and x["source_video_id"] == "w" and x["extra"] == {"deep": [1]}
     assert (x["objects"][0]["category"], x["objects"][0]["initial_state"]) == ("tool", "打开")
     assert [e["n"] for e in x["end_state"]] == [2, 1] and [e["time_range"] for e in x["state_changes"]] == ["0:09-0:10", "x"]
+
+
+# --- lookups
+
+
+def test_lookups(spark):
+    df = spark.createDataFrame([("P01_101", "P01"), ("P02_07", "P02"), ("P03", "P03")], "video_id string, participant_id string")
+    splits = spark.createDataFrame([("P02_07", "test"), ("P02_07", " "), ("P03", "")], "video_id string, split string")
+    got = lookups.lookup(df, splits, ["video_id"], "split").select("video_id", lookups.remote_object("video_id", "split").alias("o"), lookups.video_sequence("video_id").alias("n")).orderBy("video_id").collect()
+    assert [(r.video_id, r.o.version, r.o.key, r.n) for r in got] == [("P01_101", "100", "P01/videos/P01_101.MP4", 101), ("P02_07", "55", "videos/test/P02/P02_07.MP4", 7), ("P03", None, None, 0)]
+    assert [r.video_id for r in lookups.chosen(df, "video_id", ["P03"], "participant_id", ["P01"]).collect()] == ["P03"]
+    assert lookups.chosen(df, "video_id", None, "participant_id", ["P01"]).count() == 1 and lookups.chosen(df, "video_id", None, "participant_id", None).count() == 3
+    assert [r.video_id for r in lookups.unknown_ids(df, "video_id", ["P03", "zz"]).collect()] == ["zz"]
+    assert [r.video_id for r in lookups.first_rows(df, [F.desc("video_id")], 2).collect()] == ["P03", "P02_07"]
+    joined, missing = lookups.must_match(df, splits.where("split = 'test'"), ["video_id"], "no_split")
+    assert joined.count() == 1 and {(r.video_id, r.code) for r in missing.collect()} == {("P01_101", "no_split"), ("P03", "no_split")}
+    assert {r.video_id: r.needed for r in lookups.reused(df, splits, ["video_id"], "split").collect()} == {"P01_101": True, "P02_07": False, "P03": True}
+
+
+def test_orders_and_jobs(spark):
+    every = spark.createDataFrame([("b", 0), ("a", 1)], "participant_id string, position int")
+    few = every.where("position = 1")
+    order = lambda mode: [r.participant_id for r in lookups.participant_order(spark, mode, every, few).orderBy("position").collect()]
+    assert order("all") == ["b", "a"] and order("all-candidates") == ["a"] and order(" z, ,b") == ["z", "b"]
+    jobs = spark.createDataFrame([("a", "batch_1"), ("b", " "), ("c", None)], "participant_id string, batch_id string")
+    assert [r.participant_id for r in lookups.submittable(every, jobs, ["participant_id"]).collect()] == ["b"] and lookups.submittable(every, jobs, ["participant_id"], True).count() == 2
+    assert one(spark, a=lookups.token_limit(F.lit(2), 3, 10, 20), b=lookups.token_limit(F.lit(3), 3, 10, 20)) == {"a": 10, "b": 20}
+    s = spark.createDataFrame([("p", "v1", [1, 2]), ("p", "v2", None), ("q", "v3", [])], "participant_id string, source_video_id string, c array<int>")
+    assert {(r.participant_id, r.sources, r.candidates) for r in lookups.bundle_report(s, "c").collect()} == {("p", 2, 2), ("q", 1, 0), (None, 3, 2)}
+    assert {tuple(r) for r in lookups.status_counts(jobs, "batch_id").collect()} == {("batch_1", 1), ("unknown", 2)}
+
+
+def test_addresses(spark):
+    rows = spark.createDataFrame([("k", "", None), ("k", "main", "near"), ("", None, None), ("z", None, "far")], "key string, bucket string, region string")
+    assert sorted(tuple(r) for r in lookups.address_violations(rows, "main", "near").select("code", F.coalesce("key", F.lit(""))).collect()) == [("duplicate_object", "k"), ("missing_key", ""), ("region_differs", "z")]
+    assert {r.code for r in lookups.address_violations(rows.limit(1), "", "").collect()} == {"missing_bucket"}
+    got = lookups.refreshed(rows.where("key = 'z'"), lambda b, k: F.concat_ws("/", b, k), "main", "near").first()
+    assert (got.bucket, got.region, got.signed_url) == ("main", "far", "main/z")
+
+
+def test_local_items_and_coverage(spark):
+    cols = "source_video_id string, participant_id string, candidate_id string, type string, claim string, observed_value string, supporting_window_ids array<string>, support array<struct<start_sec:double,end_sec:double>>, flags array<string>, verdict string, evidence array<struct<start_sec:double,end_sec:double>>, reason_codes array<string>, reason string, corrected_claim string, qc_status string"
+    a = ("v", "p", "c1", "t", "x", None, ["w"], [(0.0, 1.0)], None, "contradicted", None, None, "r", None, "verification_disputed")
+    got = qc.local_items(spark.createDataFrame([a, (*a[:2], "c2", *a[3:-1], "verification_passed")], cols)).collect()
+    assert len(got) == 1 and got[0].record_id == "v:c1" and got[0].quality_flags == [] and got[0].first_pass_verdict == "contradicted" and len(got[0]) == 15
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "k string")
+    got = qc.verdict_coverage(ids("a", "b", "c"), ids("a", "b", "z"), ids("a", "a", "c", "z"), ["k"]).collect()
+    assert {tuple(r) for r in got} == {("a", "duplicate_verdict"), ("b", "missing_verdict"), ("c", "unrequested_verdict"), ("z", "unknown_candidate")}
