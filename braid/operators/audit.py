@@ -182,7 +182,9 @@ def report(v: DataFrame, cand: DataFrame, bench: DataFrame) -> DataFrame:
 
 
 def download_access(wanted: DataFrame, manifest: DataFrame, heads: DataFrame) -> DataFrame:
-    """wanted (video_uid, in order) against a download manifest (video_uid, url) and the answers to HEAD (video_uid, code, error): status."""
+    """wanted (video_uid, in order) against a download manifest (video_uid, url) and the answers to HEAD (video_uid, code, error): status.
+
+    A manifest that lists a video twice is an error: see `repeated_in_manifest`."""
     j = wanted.join(manifest.select("video_uid", "url"), "video_uid", "left").join(heads, "video_uid", "left")
     e = F.lower(F.coalesce("error", F.lit("")))
     status = (
@@ -193,3 +195,8 @@ def download_access(wanted: DataFrame, manifest: DataFrame, heads: DataFrame) ->
         .otherwise("error")
     )
     return j.select("video_uid", "url", status.alias("status"))
+
+
+def repeated_in_manifest(manifest: DataFrame) -> DataFrame:
+    """Videos that a download manifest lists more than once, for `constraints.enforce` before `download_access`."""
+    return manifest.groupBy("video_uid").agg(F.count("*").alias("n")).where("n > 1")

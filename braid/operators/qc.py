@@ -75,7 +75,7 @@ def merge_second(first: DataFrame, verdicts: DataFrame, keys: list[str]) -> Data
 
 def decision_violations(reviewed: DataFrame, decisions: DataFrame, keys: list[str]) -> DataFrame:
     """Decisions that can't stand: repeated, for no candidate, not asked for, outside the vocabulary, stale, or a correction without a claim."""
-    d = decisions.where(F.col("decision").isNotNull() & (F.trim("decision") != ""))
+    d = decisions.where(F.col("decision").isNotNull() & (F.trim("decision") != "")).withColumn("decision", F.trim("decision"))
     twice = constraints.duplicates(d, keys).select(*keys, F.lit("duplicate_decision").alias("code"))
     j = d.join(reviewed.select(*keys, F.col("qc_status").alias("_s"), F.col("fingerprint").alias("_f"), F.lit(True).alias("_known")), keys, "left")
     checks = [
@@ -89,8 +89,10 @@ def decision_violations(reviewed: DataFrame, decisions: DataFrame, keys: list[st
 
 
 def finalise(reviewed: DataFrame, decisions: DataFrame, keys: list[str]) -> DataFrame:
-    """reviewed (keys, claim, qc_status, usable) with decisions (keys, decision, approved_claim): final_status, outcome, claim, original_claim."""
-    d = decisions.where(F.trim("decision") != "").select(*keys, "decision", "approved_claim")
+    """reviewed (keys, claim, qc_status, usable) with decisions (keys, decision, approved_claim): final_status, outcome, claim, original_claim.
+
+    Decisions are trimmed. Of several for one candidate none counts, so no candidate is doubled; `decision_violations` names them."""
+    d = decisions.where(F.trim("decision") != "").groupBy(*keys).agg(F.count("*").alias("_n"), F.max(F.trim("decision")).alias("decision"), F.max("approved_claim").alias("approved_claim")).where("_n = 1").drop("_n")
     j = reviewed.join(d, keys, "left")
     fixed = F.col("decision") == "accept_corrected"
     j = j.withColumn("final_status", final_status(F.col("qc_status"), F.col("decision"))).withColumn("outcome", outcome(F.col("final_status"), F.col("usable")))

@@ -475,3 +475,19 @@ def test_local_items_and_coverage(spark):
     ids = lambda *x: spark.createDataFrame([(i,) for i in x], "k string")
     got = qc.verdict_coverage(ids("a", "b", "c"), ids("a", "b", "z"), ids("a", "a", "c", "z"), ["k"]).collect()
     assert {tuple(r) for r in got} == {("a", "duplicate_verdict"), ("b", "missing_verdict"), ("c", "unrequested_verdict"), ("z", "unknown_candidate")}
+
+
+def test_decisions_count_once(spark):
+    reviewed = spark.createDataFrame([("a", "x", "human_review_required", False), ("b", "y", "human_review_required", False), ("c", "z", "human_review_required", False)], "k string, claim string, qc_status string, usable boolean")
+    decisions = spark.createDataFrame([("a", " accept ", None), ("b", "accept", None), ("b", "reject", None), ("c", " ", None)], "k string, decision string, approved_claim string")
+    got = {r.k: r.outcome for r in qc.finalise(reviewed, decisions, ["k"]).collect()}
+    assert got == {"a": "ready", "b": "unresolved", "c": "unresolved"} and qc.finalise(reviewed, decisions, ["k"]).count() == 3
+    assert [r.video_uid for r in audit.repeated_in_manifest(spark.createDataFrame([("u", 1), ("u", 2), ("w", 1)], "video_uid string, x int")).collect()] == ["u"]
+
+
+def test_orphans_and_upserts(spark):
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "k bigint")
+    got = {(r.k, r.code) for r in constraints.coverage(ids(1, 2), ids(2, 3), "k", "no_output", "no_parent").collect()}
+    assert got == {(1, "no_output"), (2, "matched"), (3, "no_parent")}
+    rows = lambda *x: spark.createDataFrame(x, "k bigint, v string")
+    assert {tuple(r) for r in constraints.upsert(rows((1, "a"), (2, "b")), rows((2, "c"), (3, "d")), ["k"]).select("k", "v").collect()} == {(1, "a"), (2, "c"), (3, "d")}
