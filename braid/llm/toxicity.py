@@ -122,7 +122,7 @@ def train(y: np.ndarray, terms: np.ndarray, sizes: np.ndarray, seed: int = 11, e
     rng = np.random.default_rng(seed)
     par = [np.array([none["bias"]]), np.zeros(len(chosen)), rng.normal(0, 0.05, (len(chosen), FACTORS))]
     m, s, t = [np.zeros_like(q) for q in par], [np.zeros_like(q) for q in par], 0
-    for _ in range(max(epochs, -(-STEPS * 512 // len(y)))):
+    for _ in range(max(epochs, -(-STEPS // -(-len(y) // 512)))):
         order = rng.permutation(len(y))
         for k in range(0, len(order), 512):
             xb, yb = x[order[k : k + 512]], y[order[k : k + 512]]
