@@ -101,14 +101,14 @@ SYMBOLS = separators()
 _BLANKS = separators(" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f")
 
 
-def words(buf: np.ndarray, bounds: np.ndarray, sep: np.ndarray, flags: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Maximal runs of bytes that don't separate, never across bounds: starts, ends, 64-bit hashes, and index of the text each is in.
+def word_bounds(buf: np.ndarray, bounds: np.ndarray, sep: np.ndarray, flags: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal runs of bytes that don't separate, never across bounds: starts, ends, and index of the text each is in.
 
     sep: which byte values separate, or (flags) which bytes of buf do."""
     n = len(buf)
     if n == 0:
         z = np.zeros(0, np.int64)
-        return z, z, np.zeros(0, U), z
+        return z, z, z
     inside = ~(sep if flags else sep[buf])
     cut = bounds[1:-1]
     cut = cut[cut < n]
@@ -122,7 +122,13 @@ def words(buf: np.ndarray, bounds: np.ndarray, sep: np.ndarray, flags: bool = Fa
     after[:-1] = inside[1:]
     after[cut[cut > 0] - 1] = False
     ends = np.flatnonzero(inside & ~after) + 1
-    return starts, ends, spans_hash(buf, starts, ends), np.searchsorted(bounds, starts, "right") - 1
+    return starts, ends, np.searchsorted(bounds, starts, "right") - 1
+
+
+def words(buf: np.ndarray, bounds: np.ndarray, sep: np.ndarray, flags: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As word_bounds, with 64-bit hashes of the words: starts, ends, hashes, and index of the text each is in."""
+    starts, ends, row = word_bounds(buf, bounds, sep, flags)
+    return starts, ends, spans_hash(buf, starts, ends), row
 
 
 def spans_hash(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
