@@ -28,13 +28,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import numtext as nt
-from .common import ship, stored
+from .common import ship, small, stored
 
 #: Documents of its language that a term must be in, and terms listed for a source.
 LEAST_DOCS, LISTED = 30, 50
 SCALE, SMOOTH = 1_000_000_000, 5
 #: Rows that a task adds up before it lets them go, numbers in a block of terms by sources, and pairs of sources that are added up within a bucket.
 HELD, CELLS, PAIRS = 1 << 20, 1 << 21, 1 << 22
+#: Rows of (term, source) in a bucket, about: a bucket lets go a row for each pair of sources, so there are as many buckets as the rows need.
+BUCKET = 1 << 18
 
 _TERM_BREAK = np.zeros(256, bool)
 _TERM_BREAK[:128] = [not chr(i).isalpha() for i in range(128)]
@@ -243,19 +245,19 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from ended()
 
 
-def audited(docs: DataFrame, least: int = LEAST_DOCS, buckets: int | None = None) -> DataFrame:
+def audited(docs: DataFrame, least: int = LEAST_DOCS, bucket: int = BUCKET) -> DataFrame:
     """lang, source, part, item, value, rank. Part `pair`: the other sources of the language by distance (the sum over kept terms of the difference of
     shares). Part `term`: up to LISTED kept terms that the source has and whose share in it is greater than in the language, by that difference."""
-    spark = docs.sparkSession
     kept = counts(docs, least)
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     lang = Window.partitionBy("lang")
-    totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("n"), F.sum("head").alias("h"))
-    totals = totals.select("lang", "source", "n", F.sum("n").over(lang).alias("in_lang"), F.sum("h").over(lang).alias("kept"))
-    used = kept.where("term <> ''")
-    in_bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
-    heads = totals.select("lang", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"), F.lit(False).alias("of_term"), F.lit("").alias("term"), "source", "n", "in_lang", "kept")
-    rows = used.select("lang", in_bucket.alias("bucket"), F.lit(True).alias("of_term"), "term", "source", "n", "in_lang", F.lit(0).cast("bigint").alias("kept"))
+    totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("n"), F.sum("head").alias("h"), F.count("*").alias("rows"))
+    totals = totals.select("lang", "source", "n", F.sum("n").over(lang).alias("in_lang"), F.sum("h").over(lang).alias("kept"), F.expr(f"1 + sum(rows) over (partition by lang) div {bucket}").alias("buckets"))
+    totals = stored(totals)
+    head, term = F.lit(False).alias("of_term"), F.lit(True).alias("of_term")
+    heads = totals.select("lang", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("buckets") - 1)).alias("bucket"), head, F.lit("").alias("term"), "source", "n", "in_lang", "kept")
+    langs = stored(totals.select("lang", "buckets").distinct())
+    used = kept.where("term <> ''").join(small(langs), "lang")
+    rows = used.select("lang", F.pmod(F.xxhash64("term"), F.col("buckets")).alias("bucket"), term, "term", "source", "n", "in_lang", F.lit(0).cast("bigint").alias("kept"))
     dealt = heads.unionByName(rows).repartition("lang", "bucket").sortWithinPartitions("lang", "bucket", "of_term", "term", "source")
     partial = dealt.mapInArrow(_compared, "lang string, source string, part string, item string, value bigint")
     whole = partial.groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
