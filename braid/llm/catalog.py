@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_tree, decontamination, divergence, language_id, line_dedup, mixing, ngram_join, periodic_runs, pii, quality_rules, substring_dedup, toxicity
+from . import chat_tree, decontamination, divergence, html_extraction, language_id, line_dedup, mixing, ngram_join, periodic_runs, pii, quality_rules, substring_dedup, toxicity
 from .common import crc_mod, table
 
 #: The made-up conversation: its texts are the template's own control strings.
@@ -64,6 +64,11 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audited(table(spark, sf_dir, "documents"))
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extraction.extracted(pages, html_extraction.fit(pages))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.detected(table(spark, sf_dir, "documents"), periodic_runs.looped, texts=False)
 
@@ -72,7 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pii, op2_language_id, op3_decontamination, op4_chat_tree, op5_toxicity, op6_substring_dedup, op7_mixing, op8_ngram_join, op9_quality_rules, op10_line_dedup,
-        op11_divergence, op13_periodic_runs,
+        op11_divergence, op12_html_extraction, op13_periodic_runs,
     )
 }
 
@@ -83,4 +88,5 @@ ORACLES: dict[str, str] = {
     "op8_ngram_join": ngram_join.oracle(),
     "op9_quality_rules": quality_rules.oracle(),
     "op11_divergence": divergence.oracle(),
+    "op12_html_extraction": html_extraction.oracle(),
 }
