@@ -35,7 +35,7 @@ from .common import bounded_sample, ship
 SAMPLE = 2000
 #: Costs in hundredths: of the place of a block (marked as boilerplate, in or out of a main element, of an element that a class names so), the most that its
 #: text can weigh, and of a smoothness edge between siblings.
-MARKED, MAIN, NAMED, TEXT, SMOOTH = 800, 400, 150, 300, 60
+MARKED, MAIN, NAMED, TEXT, SMOOTH = 900, 500, 200, 300, 120
 
 #: Elements that end a block where they begin and end.
 BLOCKS = frozenset(
@@ -304,7 +304,7 @@ def edges(page: Page) -> list[tuple[int, int, int]]:
                 else:
                     b = page.parent[b]
                 far += 1
-            out.append((k - 1, k, SMOOTH * 2 // (2 + far)))
+            out.append((k - 1, k, SMOOTH * 2 // max(2, far)))  # siblings are two steps apart
         near = page.parent[i]
         if last.get(near, k) < k - 1:
             out.append((last[near], k, SMOOTH // 2))
