@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -233,3 +234,26 @@ def distinct_texts(x: str | Column) -> Column:
     """Aggregate: distinct trimmed texts without blanks, sorted by lower case and then as they are."""
     t = F.collect_set(blank_to_null(x))
     return F.transform(F.sort_array(F.transform(t, lambda v: F.struct(F.lower(v).alias("k"), v.alias("v")))), lambda s: s["v"])
+
+
+@lru_cache(maxsize=1)
+def _folds() -> tuple[str, str, dict[str, str]]:
+    """What full case folding changes in lower-cased text: characters that become one other, those they become, and those that become several. Made from
+    Python's own tables."""
+    one, several = {}, {}
+    for i in range(0x110000):
+        x = chr(i)
+        if (y := x.lower()) == x and x.casefold() != y:
+            (one if len(x.casefold()) == 1 else several)[x] = x.casefold()
+    return "".join(one), "".join(one.values()), several
+
+
+def casefolded(x: str | Column) -> Column:
+    """Text for comparing and sorting without regard to case, by full case folding (ß as ss, ς as σ) where lower case alone isn't enough.
+
+    Few texts hold a character that becomes several; only these go through the replacements."""
+    c = F.lower(F.col(x) if isinstance(x, str) else x)
+    old, new, several = _folds()
+    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in several.items()])
+    wide = F.aggregate(pairs, c, lambda t, p: F.replace(t, p["a"], p["b"]))
+    return F.translate(F.when(c.rlike(f"[{''.join(several)}]"), wide).otherwise(c), old, new)

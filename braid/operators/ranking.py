@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.workspace import kept, small
+
+#: Rows of a group that one fold takes.
+FOLD = 4096
+
 
 def numbered(df: DataFrame, keys: list[str], order: list, name: str) -> DataFrame:
     """1..N within each group."""
@@ -15,10 +20,9 @@ def numbered(df: DataFrame, keys: list[str], order: list, name: str) -> DataFram
 def numbered_globally(df: DataFrame, order: list, name: str, buckets: list[str] | None = None) -> DataFrame:
     """1..N over all rows without sorting them in one task: rows are ranked within leading buckets, and the buckets' sizes are added up.
 
-    buckets: leading columns of the order. Only their distinct values, with counts, meet in one task; without them the whole order does, which
-    suits a result that is small."""
+    buckets: leading columns of the order, few values: only these, with counts, meet in one task. Without them rows are dealt out by range; see `ranked`."""
     if not buckets:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+        return ranked(df, order, name)
     lead = order[: len(buckets)]
     sizes = df.groupBy(*buckets).agg(F.count("*").alias("_n"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy(*lead).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
@@ -26,6 +30,18 @@ def numbered_globally(df: DataFrame, order: list, name: str, buckets: list[str]
     return ranked.join(before, buckets).withColumn(name, (F.col("_rank") + F.col("_before")).cast("int")).drop("_rank", "_before")
 
 
+def ranked(df: DataFrame, order: list, name: str, first: int = 1) -> DataFrame:
+    """first, first + 1, .. over all rows in order. Rows are dealt out by range of the whole order and sorted where they are; a partition's rows are counted,
+    and the counts of the partitions before it added to each row's place. Only those counts meet in one task. The dealt rows are stored, as ranges are cut by
+    samples. Rows that the order doesn't tell apart are in one partition and numbered in any order."""
+    p, at = (f"__{name}_{x}" for x in ("part", "at"))
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    t = kept(dealt.withColumns({p: F.spark_partition_id(), at: F.monotonically_increasing_id()}))
+    before = F.sum("n").over(Window.orderBy(p).rowsBetween(Window.unboundedPreceding, -1))
+    shift = t.groupBy(p).agg(F.min(at).alias("lo"), F.count("*").alias("n")).select(p, (F.coalesce(before, F.lit(0)) - F.col("lo")).alias("__shift"))
+    return t.join(small(kept(shift)), p).withColumn(name, (F.col(at) + F.col("__shift") + first).cast("bigint")).drop(p, at, "__shift")
+
+
 def group_size_at_least(df: DataFrame, keys: list[str], least: int, name: str) -> DataFrame:
     return df.withColumn(name, F.count("*").over(Window.partitionBy(*keys)) >= least)
 
@@ -41,6 +57,36 @@ def conflict_free(df: DataFrame, keys: list[str], order: str, sets: str) -> Data
     return df.groupBy(*keys).agg(F.aggregate(F.sort_array(F.collect_list(item)), zero, step, lambda a: a["kept"]).alias("kept"))
 
 
+def conflict_free_rows(df: DataFrame, keys: list[str], order: str, sets: str, fold: int = FOLD) -> DataFrame:
+    """keys and order of the rows kept, as `conflict_free` keeps them, for groups of any size.
+
+    By rounds: a row that is the first of its group for each of its ids is kept, every row that shares an id with it goes, and so on with the rest. This is the
+    greedy choice, as no row before such a row can take one of its ids. Groups of no more than `fold` remaining rows are folded in one step. order is unique
+    within a group; a row without ids meets no other."""
+    ids = F.array_distinct(F.coalesce(F.col(sets), F.array().cast(dict(df.dtypes)[sets])))
+    rows = kept(df.select(*keys, F.col(order), ids.alias("ids")))
+    kept_rows = [rows.where("size(ids) = 0").select(*keys, order)]
+    rest = kept(rows.where("size(ids) > 0").select(*keys, order, F.explode("ids").alias("id")))
+    while not rest.isEmpty():
+        sizes = kept(rest.groupBy(*keys).agg(F.count_distinct(order).alias("n")).where(F.col("n") <= fold).select(*keys))
+        last = rest.join(small(sizes), keys, "left_semi").groupBy(*keys, order).agg(F.collect_list("id").alias("ids"))
+        kept_rows.append(kept(conflict_free(last, keys, order, "ids").select(*keys, F.explode("kept").alias(order))))
+        rest = kept(rest.join(small(sizes), keys, "left_anti"))
+        if rest.isEmpty():
+            break
+        least = rest.groupBy(*keys, "id").agg(F.min(order).alias("least"))
+        judged = rest.join(least, [*keys, "id"])
+        won = kept(judged.groupBy(*keys, order).agg(F.bool_and(F.col(order) == F.col("least")).alias("won")).where("won").select(*keys, order))
+        used = rest.join(won, [*keys, order], "left_semi").select(*keys, "id").distinct()
+        gone = rest.join(used, [*keys, "id"], "left_semi").select(*keys, order).distinct()
+        kept_rows.append(won)
+        rest = kept(rest.join(gone, [*keys, order], "left_anti"))
+    out = kept_rows[0]
+    for k in kept_rows[1:]:
+        out = out.unionByName(k)
+    return out
+
+
 def top_groups(df: DataFrame, key: str, weight: str, row_order: str, groups: int, rows: int) -> DataFrame:
     """The first `rows` rows of each of the `groups` groups with most rows (then weight, then key), with group_rank, row_rank, global_rank."""
     best = df.groupBy(key).agg(F.count("*").alias("_n"), F.sum(weight).alias("_w")).orderBy(F.desc("_n"), F.desc("_w"), key).limit(groups)
@@ -64,8 +110,8 @@ def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def shard(df: DataFrame, order: list, shards: int, name: str = "shard") -> DataFrame:
-    """Round robin over the sorted rows (a list of manifests: few)."""
-    return df.withColumn(name, F.pmod(F.row_number().over(Window.orderBy(*order)) - 1, F.lit(shards)))
+    """Round robin over the sorted rows."""
+    return ranked(df, order, name, first=0).withColumn(name, F.pmod(F.col(name), F.lit(shards)).cast("int"))
 
 
 def natural_key(x: str | Column) -> Column:
@@ -83,4 +129,4 @@ def contiguous(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 def frequencies(df: DataFrame, value: str, seen: str) -> DataFrame:
     """value, n, rank: most frequent first, ties by first appearance."""
     n = df.groupBy(value).agg(F.count("*").alias("n"), F.min(seen).alias("_first"))
-    return n.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "_first"))).drop("_first")
+    return ranked(n, [F.desc("n"), F.col("_first")], "rank").withColumn("rank", F.col("rank").cast("int")).drop("_first")

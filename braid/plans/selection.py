@@ -271,7 +271,8 @@ def q18_manifest_priority(spark, sf_dir):
         c.case_map("o_orderstatus", {"F": "train", "O": "validation", "P": "test"}, "unknown").alias("split"),
         c.case_map("o_orderpriority", {"1-URGENT": 0, "2-HIGH": 1, "3-MEDIUM": 2, "4-NOT SPECIFIED": 3}, 9).alias("use_rank"),
     )
-    return ranking.numbered_globally(x, [F.col("use_rank"), F.col("split"), F.col("o_orderkey")], "priority", ["use_rank", "split"]).select("o_orderkey", "c_name", "segment", "subset", "split", "use_rank", "priority")
+    first = ranking.ranked(x, [F.col("use_rank"), F.col("split"), F.col("o_orderkey")], "priority").withColumn("priority", F.col("priority").cast("int"))
+    return first.select("o_orderkey", "c_name", "segment", "subset", "split", "use_rank", "priority")
 
 
 @query("""
