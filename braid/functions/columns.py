@@ -231,9 +231,9 @@ def reasons(*rules: tuple[Column, str]) -> Column:
 
 
 def distinct_texts(x: str | Column) -> Column:
-    """Aggregate: distinct trimmed texts without blanks, sorted by lower case and then as they are."""
+    """Aggregate: distinct trimmed texts without blanks, sorted casefolded and then as they are."""
     t = F.collect_set(blank_to_null(x))
-    return F.transform(F.sort_array(F.transform(t, lambda v: F.struct(F.lower(v).alias("k"), v.alias("v")))), lambda s: s["v"])
+    return F.transform(F.sort_array(F.transform(t, lambda v: F.struct(casefolded(v).alias("k"), v.alias("v")))), lambda s: s["v"])
 
 
 @lru_cache(maxsize=1)

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship
 from . import columns as c
 
 _MINUTES = re.compile(r'("(?:start_sec|end_sec)"\s*:\s*)(\d+):([0-5]?\d(?:\.\d+)?)(?=\s*[,}\]])')
@@ -33,6 +34,7 @@ def _mapped(df: DataFrame, column: str, out: str, f: Callable[[str | None], str
         for b in batches:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([f(t) for t in b.column(at).to_pylist()], pa.string())], [*b.schema.names, out])
 
+    ship(df.sparkSession)
     return df.mapInArrow(run, f"{', '.join(f'`{n}` {t}' for n, t in df.dtypes)}, `{out}` string")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import ship
 from ..functions import columns as c
 from . import intervals
 
@@ -31,6 +32,7 @@ def without_keys(df: DataFrame, column: str, keys: tuple[str, ...] = SELF_ASSESS
             new = [None if t is None else json.dumps(drop(json.loads(t)), ensure_ascii=False, separators=(",", ":")) for t in b.column(at).to_pylist()]
             yield b.set_column(at, b.schema.names[at], pa.array(new, pa.string()))
 
+    ship(df.sparkSession)
     return df.mapInArrow(run, df.schema)
 
 

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..session import ship
 from . import rules
 
 
@@ -79,4 +80,5 @@ def normalised(df: DataFrame, layer: str, record: str = "record", parent: str =
             new = [one(x, y) for x, y in zip(b.column(r).to_pylist(), b.column(p).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(new, pa.string())], [*b.schema.names, out])
 
+    ship(df.sparkSession)
     return df.mapInArrow(run, f"{', '.join(f'`{n}` {t}' for n, t in df.dtypes)}, `{out}` string")

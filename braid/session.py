@@ -1,10 +1,27 @@
-"""Session factory: UTC, adaptive execution, Arrow; sizes are left to the cluster."""
+"""Session factory: UTC, adaptive execution, Arrow; sizes are left to the cluster. And the package for workers that lack it."""
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once, for sessions whose Python workers don't have it on their path."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_braid_shipped", False):
+        sc._braid_shipped = True
+        package = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="braid-")) / "braid.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(str(archive))  # served by the driver; executors fetch it
+
+
 def session(name: str = "braid", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings that the operators are written for; conf (dots as double underscores) overrides them."""
     b = SparkSession.builder.appName(name)

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 
 class Client(Protocol):
     """request_id and payload in; status and result out."""
