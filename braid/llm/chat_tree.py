@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import mapped, stored
 
 PACK = 16_384
 START, END = "<|im_start|>", "<|im_end|>"
@@ -81,7 +81,7 @@ def paths(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("conv_id"), pa.array(ids), pa.array(order), b.column("turns")], ["conv_id", "path_id", "order", "turns"])
 
     kind = dict(rows.dtypes)["conv_id"]
-    return turns.mapInArrow(run, f"conv_id {kind}, path_id string, order string, turns array<struct<role:string,text:string>>")
+    return mapped(turns, run, f"conv_id {kind}, path_id string, order string, turns array<struct<role:string,text:string>>")
 
 
 _NODE = "array<struct<parent:int,start:int,end:int,pos:int,depth:int,role:string,loss_start:int,loss_end:int,attn:array<struct<start:int,end:int>>>>"
@@ -146,7 +146,7 @@ def packed(convs: DataFrame, pack: int = PACK) -> DataFrame:
         if rows:
             yield from pa.Table.from_pylist(rows, schema).to_batches()
 
-    return distinct.repartitionByRange("order", "path_id").sortWithinPartitions("order", "path_id").mapInArrow(run, _PACK)
+    return mapped(distinct.repartitionByRange("order", "path_id").sortWithinPartitions("order", "path_id"), run, _PACK)
 
 
 def read_back(packs: DataFrame) -> DataFrame:
@@ -173,7 +173,7 @@ def read_back(packs: DataFrame) -> DataFrame:
                     out["formatted_chars"].append(len(formatted))
             yield pa.RecordBatch.from_pydict(out, pa.schema([("path_id", pa.string()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]))
 
-    return packs.mapInArrow(run, "path_id string, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
+    return mapped(packs, run, "path_id string, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
 
 
 def formatted(rows: DataFrame, pack: int = PACK) -> tuple[DataFrame, DataFrame]:

@@ -5,36 +5,30 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 #: Rows up to which a side of a join may be broadcast: ids and short numbers, 64 MB at most. Beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
 #: Bytes up to which a side with lists may be broadcast.
 BROADCAST_BYTES = 1 << 26
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once, for sessions whose Python workers don't have it on their path."""
-    sc = spark.sparkContext
-    if not getattr(sc, "_braid_shipped", False):
-        sc._braid_shipped = True
-        package = Path(__file__).resolve().parents[1]
-        archive = Path(tempfile.mkdtemp(prefix="braid-")) / "braid.zip"
-        with zipfile.ZipFile(archive, "w") as z:
-            for f in sorted(package.rglob("*.py")):
-                z.write(f, f.relative_to(package.parent))
-        sc.addPyFile(str(archive))  # served by the driver; executors fetch it
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def mapped(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """df.mapInArrow, by workers that have this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir where the session names one, else (tests, one machine) a temporary one."""
     sc = spark.sparkContext

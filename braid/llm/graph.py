@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
+from ..session import ship
 from .common import small, stored
 
 #: Members of a candidate group that are compared at once; larger groups are dealt out as pairs of such blocks.
@@ -96,6 +97,7 @@ def linked(members: DataFrame, group: str, node: str, weight: str, match: Callab
     match(t, i, js) tells which of the rows js of t match row i; js ascend, within a run of rows. rows: about how many members there are. Rows out are as
     many as members in blocks, whatever the number of links. forest: only what is connected counts, not how often, so pairs already connected aren't
     matched and links is no count."""
+    ship(members.sparkSession)
     kind = dict(members.dtypes)[node]
 
     def check(key: tuple, t: pa.Table) -> pa.Table:

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, crc_mod
+from .common import bounded_sample, crc_mod, mapped
 from .numtext import groups
 
 LETTERS, RESIDUES, STRETCH, ROWS, SYMBOLS = 96, 24, 512, 80, 20_000
@@ -185,4 +185,4 @@ def predicted(docs: DataFrame, model: dict) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "lang_pred": pred, "score": score})
 
     rows = docs.select("doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "text")
-    return rows.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, held_out boolean, lang_pred string, score double")
+    return mapped(rows, run, f"doc_id {dict(docs.dtypes)['doc_id']}, held_out boolean, lang_pred string, score double")

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, stored
+from .common import mapped, small, stored
 from .graph import components, linked
 from .numtext import BASE, SPACES, U, groups, list_of, mix, sequence_keys, words
 
@@ -96,7 +96,7 @@ def sketched(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                     [b.column("doc_id")[i:j], pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), list_of(h.view(np.int64).ravel(), np.where(size > 0, bands, 0))], ["doc_id", "k1", "k2", "bands"]
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, k1 bigint, k2 bigint, bands array<bigint>")
+    return mapped(docs.select("doc_id", "text"), run, f"doc_id {dict(docs.dtypes)['doc_id']}, k1 bigint, k2 bigint, bands array<bigint>")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -110,7 +110,7 @@ def _sets(docs: DataFrame) -> DataFrame:
                 parts = [np.unique(sh[s : s + n].view(np.int64)) for s, n in zip(at, size, strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column("doc_id")[i:j], list_of(np.concatenate(parts), np.array([len(x) for x in parts]))], ["doc_id", "sh"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, sh array<bigint>")
+    return mapped(docs.select("doc_id", "text"), run, f"doc_id {dict(docs.dtypes)['doc_id']}, sh array<bigint>")
 
 
 def _matcher(threshold: float):

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample
+from .common import bounded_sample, mapped
 
 KINDS = ("email", "ip", "card", "phone")
 #: What a unit can be: the base kinds, and credentials, which only the field finds.
@@ -282,4 +282,4 @@ def found(docs: DataFrame, weights: dict[str, np.ndarray]) -> DataFrame:
 
     some = docs.select("doc_id", F.when(F.col("text").rlike("[0-9@]"), F.col("text")).alias("text"))
     kind = dict(docs.dtypes)["doc_id"]
-    return some.mapInArrow(run, f"doc_id {kind}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_added bigint, n_spans bigint")
+    return mapped(some, run, f"doc_id {kind}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_added bigint, n_spans bigint")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, stored, text_column
+from .common import mapped, small, stored, text_column
 from .numtext import BASE, U, groups, mix, powers, slices, utf8
 
 LENGTH, GRAM, MOST = 100, 32, 20_000
@@ -144,7 +144,7 @@ def _route(docs: DataFrame, buckets: int) -> DataFrame:
         if recs:
             yield from flush(recs)
 
-    return docs.mapInArrow(run, "p bigint, kind int, blob binary")
+    return mapped(docs, run, "p bigint, kind int, blob binary")
 
 
 _ROUTED = pa.schema([("p", pa.int64()), ("kind", pa.int32()), ("blob", pa.binary())])
@@ -321,4 +321,4 @@ def cut_out(docs: DataFrame, most: int = MOST) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "n_bytes": np.diff(at), "n_removed": removed, "n_spans": spans, "kept_sha256": digest, "kept": pa.array(kept, pa.binary())})
 
     rows = docs.select("doc_id", text_column().alias("text"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NULL)).alias("doc")).join(ranges, "doc", "left").select("doc_id", "text", "ranges")
-    return rows.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+    return mapped(rows, run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, crc_mod
+from .common import bounded_sample, crc_mod, mapped
 from .numtext import SYMBOLS, U, groups, list_of, words
 
 BITS, ROWS, TERMS, FACTORS, Z = 18, 12_000, 1024, 8, 5.0
@@ -49,7 +49,7 @@ def term_lists(rows: DataFrame) -> DataFrame:
                 sizes.append(np.bincount(u >> BITS, minlength=j - i))
             yield pa.RecordBatch.from_arrays([b.column("toxic"), list_of(np.concatenate(parts), np.concatenate(sizes) if sizes else np.zeros(0, int))], ["toxic", "terms"])
 
-    return rows.select("toxic", "text").mapInArrow(run, "toxic int, terms array<int>")
+    return mapped(rows.select("toxic", "text"), run, "toxic int, terms array<int>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> dict:
@@ -163,7 +163,7 @@ def scored(docs: DataFrame, model: dict) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "score": score, "predicted": (score >= 0.5).astype(np.int32)})
 
     rows = docs.select("doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "text")
-    return rows.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, held_out boolean, score double, predicted int")
+    return mapped(rows, run, f"doc_id {dict(docs.dtypes)['doc_id']}, held_out boolean, score double, predicted int")
 
 
 def clean(docs: DataFrame, model: dict) -> DataFrame:
