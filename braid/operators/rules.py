@@ -88,12 +88,40 @@ REFS = {
 }
 
 
-def items(v: Column, section: str) -> Column:
+class Prepared:
+    """A record whose sections, local ids, keys and confidences are columns of their own, computed once: rules that go over them by the item, or within one
+    another, would have Spark read the record anew each time. Made by `prepared`."""
+
+    def __init__(self, layer: str, record: str):
+        self.v, self.layer = F.col(record), layer
+
+    def made(self) -> dict[str, Column]:
+        v, out = self.v, {}
+        for s in LIMITS[self.layer]:
+            out[f"_items_{s}"] = items(v, s)
+        for s, f in LOCAL_IDS[self.layer].items():
+            out[f"_ids_{s}"] = _ids(v, s, f)
+        return out | {"_keys": F.coalesce(F.json_object_keys(F.to_json(v)), F.array().cast("array<string>")), "_confidences": confidences(v)}
+
+
+def prepared(layer: str, df: DataFrame, record: str = "record") -> tuple[DataFrame, Prepared]:
+    """df with the columns of Prepared, as rows of a generator: what a generator makes isn't computed again by those who use it."""
+    p = Prepared(layer, record)
+    return df.select("*", F.inline(F.array(F.struct(*[x.alias(k) for k, x in p.made().items()])))), p
+
+
+def raw(v: Column | Prepared) -> Column:
+    return v.v if isinstance(v, Prepared) else v
+
+
+def items(v: Column | Prepared, section: str) -> Column:
+    if isinstance(v, Prepared):
+        return F.col(f"_items_{section}")
     return F.coalesce(F.try_variant_get(v, f"$.{section}", "array<variant>"), F.array().cast("array<variant>"))
 
 
-def text(x: Column, field: str) -> Column:
-    return F.coalesce(F.try_variant_get(x, f"$.{field}", "string"), F.lit(""))
+def text(x: Column | Prepared, field: str) -> Column:
+    return F.coalesce(F.try_variant_get(raw(x), f"$.{field}", "string"), F.lit(""))
 
 
 def texts(x: Column, field: str) -> Column:
@@ -122,7 +150,9 @@ def _each(values: Column, make) -> Column:
     return F.transform(values, make).cast(ISSUE)
 
 
-def _ids(v: Column, section: str, field: str) -> Column:
+def _ids(v: Column | Prepared, section: str, field: str) -> Column:
+    if isinstance(v, Prepared):
+        return F.col(f"_ids_{section}")
     return F.filter(F.transform(items(v, section), lambda x: text(x, field)), lambda t: t != "")
 
 
@@ -132,7 +162,7 @@ def shape_issues(layer: str, v: Column, keys: Column) -> list[Column]:
     for field in REQUIRED[layer]:
         out.append(_if(~F.array_contains(keys, field), _issue("missing_required_field", "blocking", field)))
     for field, most in LIMITS[layer].items():
-        kind = F.schema_of_variant(F.try_variant_get(v, f"$.{field}", "variant"))
+        kind = F.schema_of_variant(F.try_variant_get(raw(v), f"$.{field}", "variant"))
         out.append(_if(F.array_contains(keys, field) & ~F.coalesce(kind, F.lit("VOID")).startswith("ARRAY"), _issue("invalid_field_type", "blocking", field)))
         n = F.size(items(v, field))
         out.append(_if(n > most, _issue("count_limit_exceeded", "warning", F.concat(F.lit(f"{field}:"), n.cast("string"), F.lit(f">{most}")))))
@@ -171,8 +201,10 @@ def ref_issues(layer: str, v: Column, parent: Column) -> list[Column]:
     return out
 
 
-def confidences(v: Column) -> Column:
+def confidences(v: Column | Prepared) -> Column:
     """Values of every `confidence` at any depth, as text; JSON null and others than strings as they are written."""
+    if isinstance(v, Prepared):
+        return F.col("_confidences")
     found = F.regexp_extract_all(F.to_json(v), F.lit(r'(?<!\\)"confidence":("(?:[^"\\]|\\.)*"|[^,}\]]+)'), F.lit(1))
     return F.transform(found, lambda t: F.regexp_replace(t, '^"|"$', ""))
 
@@ -183,7 +215,7 @@ def confidence_issues(v: Column) -> list[Column]:
 
 def clip_duration(v: Column, parent: Column) -> Column:
     """Known length of a clip: the parent's duration, its end less its start, or the record's own range."""
-    num = lambda x, f: F.try_variant_get(x, f"$.{f}", "double")
+    num = lambda x, f: F.try_variant_get(raw(x), f"$.{f}", "double")
     positive = lambda x: F.when(x > 0, x)
     return F.coalesce(positive(num(parent, "duration_sec")), positive(num(parent, "end_sec") - num(parent, "start_sec")), positive(num(v, "clip_time_range.end_sec") - num(v, "clip_time_range.start_sec")))
 
@@ -212,7 +244,7 @@ def time_issues(v: Column, parent: Column) -> list[Column]:
             out.append(F.flatten(F.transform(items(v, section), _bind(found, section, field, mode))).cast(ISSUE))
     seen = lambda x, f: c.relative_seconds(text(x, f))
     out.append(_each(F.filter(items(v, "objects"), lambda x: seen(x, "first_seen") > seen(x, "last_seen")), lambda x: _issue("invalid_relative_time", "blocking", F.concat(F.lit("objects:"), text(x, "object_id")))))
-    num = lambda x, f: F.try_variant_get(x, f"$.{f}", "double")
+    num = lambda x, f: F.try_variant_get(raw(x), f"$.{f}", "double")
     off = lambda f: F.abs(num(v, f"clip_time_range.{f}") - num(parent, f)) > 0.25
     out.append(_if(off("start_sec") | off("end_sec"), _issue("clip_time_range_mismatch", "blocking")))
     return out
@@ -291,9 +323,10 @@ def mismatch_issues(layer: str, v: Column, parent: Column) -> list[Column]:
     return out
 
 
-def record_issues(layer: str, v: Column, parent: Column, normalise_identity: bool = True) -> Column:
-    keys = F.coalesce(F.json_object_keys(F.to_json(v)), F.array().cast("array<string>"))
-    parts = shape_issues(layer, v, keys) + id_issues(layer, v) + ref_issues(layer, v, parent) + confidence_issues(v)
+def record_issues(layer: str, v: Column, parent: Column, normalise_identity: bool = True, references: bool = True) -> Column:
+    """references: whether what refers to nothing is looked for here; see `levels` for records with many references."""
+    keys = F.col("_keys") if isinstance(v, Prepared) else F.coalesce(F.json_object_keys(F.to_json(v)), F.array().cast("array<string>"))
+    parts = shape_issues(layer, v, keys) + id_issues(layer, v) + (ref_issues(layer, v, parent) if references else []) + confidence_issues(v)
     if layer == "micro":
         parts += time_issues(v, parent) + meaning_issues(v)
     parts += identity_issues(layer, v, parent) if normalise_identity else mismatch_issues(layer, v, parent)
@@ -304,19 +337,23 @@ def validate(layer: str, records: DataFrame, parents: DataFrame, key: str = "rec
     """records (key, record VARIANT) and parents (key, parent VARIANT) to key, issues, accepted, and for sessions candidates.
 
     The issue column is computed once per record and kept as a column for what follows."""
-    j = records.join(parents, key, "full_outer")
-    v, p = F.col("record"), F.col("parent")
+    j, v = prepared(layer, records.join(parents, key, "full_outer"))
+    p = F.col("parent")
     found = (
-        F.when(v.isNull(), F.array(_issue("missing_model_output", "blocking")))
+        F.when(v.v.isNull(), F.array(_issue("missing_model_output", "blocking")))
         .when(p.isNull(), F.array(_issue("missing_parent_metadata", "blocking")))
         .otherwise(record_issues(layer, v, p, normalise_identity))
     )
-    out = j.withColumn("issues", found)
-    if layer == "session":
+    return finished(v, j.withColumn("issues", found))
+
+
+def finished(v: Prepared, out: DataFrame) -> DataFrame:
+    """out (record, issues) with `accepted`, and for sessions the candidates and what is said of them."""
+    if v.layer == "session":
         out = out.withColumn("candidates", candidate_state(v, F.col("issues")))
         extra = F.flatten(F.transform("candidates", lambda x: F.transform(x["own_flags"], lambda f: _issue(f, "warning", x["claim"], x["candidate_id"]))))
         out = out.withColumn("issues", F.concat("issues", F.coalesce(extra.cast(ISSUE), _none())))
-    return out.withColumn("accepted", ~F.exists("issues", lambda i: i["severity"] == "blocking"))
+    return out.withColumn("accepted", ~F.exists("issues", lambda i: i["severity"] == "blocking")).drop(*v.made())
 
 
 def issue_log(validated: DataFrame, layer: str, key: str = "record_id") -> DataFrame:
