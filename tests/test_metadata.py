@@ -20,7 +20,7 @@ def test_odd_records(spark):
         {"video_uid": "  "}, {}, [1], None,
     ]
     df, got = rows(spark, *records, sets=[("plain", ["s1", "s2"])])
-    assert len(got.columns) == 41 and metadata.nameless(df).count() == 4
+    assert len(got.columns) == 40 and metadata.nameless(df).count() == 4
     by = {r.video_uid: r for r in got.collect()}
     assert sorted(by) == ["cut", "odd", "plain"]
     p, o, c = by["plain"], by["odd"], by["cut"]
