@@ -9,9 +9,16 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 
+#: Bytes of a batch that goes to a Python worker: batches are otherwise cut by rows alone, however long their texts.
+BATCH_BYTES = 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once, for sessions whose Python workers don't have it on their path."""
+    """Send this package to the executors once, for sessions whose Python workers don't have it on their path, and bound batches in bytes where the session
+    says nothing of them."""
     sc = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if not getattr(sc, "_braid_shipped", False):
         sc._braid_shipped = True
         package = Path(__file__).resolve().parent
