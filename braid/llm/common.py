@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,9 +26,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def mapped(df: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """df.mapInArrow, by workers that have this package."""
+    """df.mapInArrow, by workers that have this package and give back what a task has freed: workers stay for later tasks."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return df.mapInArrow(released, schema)
 
 
 def shared_dir(spark: SparkSession) -> str:
