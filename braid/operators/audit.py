@@ -6,7 +6,6 @@ from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import columns as c
 from . import intervals, ranking
@@ -126,7 +125,7 @@ def order_audit(p: DataFrame) -> DataFrame:
 def candidates(v: DataFrame, f: Filters, available: DataFrame | None = None) -> DataFrame:
     """Every video with all reasons against it; the participant's size of what is left is judged after concurrent videos are thinned out."""
     d = F.col("duration_sec")
-    counted = v.withColumn("_videos", F.count("*").over(Window.partitionBy("participant_id")))
+    counted = v.join(v.groupBy("participant_id").agg(F.count("*").alias("_videos")), "participant_id")
     if available is not None:
         counted = counted.join(available.select("video_uid", F.lit(True).alias("_here")).distinct(), "video_uid", "left")
     gone = F.col("_here").isNull() if available is not None else F.lit(False)
@@ -145,8 +144,11 @@ def candidates(v: DataFrame, f: Filters, available: DataFrame | None = None) ->
     )
     judged = counted.withColumn("exclusion_reasons", why)
     free = judged.where(F.size("exclusion_reasons") == 0)
-    kept = ranking.conflict_free(free, ["participant_id"], "video_uid", "concurrent_video_set_ids").select("participant_id", F.size("kept").alias("independent_eligible_videos"))
-    out = judged.join(kept, "participant_id", "left").withColumn("independent_eligible_videos", F.coalesce("independent_eligible_videos", F.lit(0)))
+    free = free.select("participant_id", "video_uid", "concurrent_video_set_ids")
+    apart = ranking.conflict_free_rows(free, ["participant_id"], "video_uid", "concurrent_video_set_ids").withColumn("_apart", F.lit(1))
+    n = free.select("participant_id", F.lit(0).alias("_apart")).unionByName(apart.select("participant_id", "_apart")).groupBy("participant_id")
+    n = n.agg(F.count_if(F.col("_apart") == 0).cast("int").alias("eligible_videos"), F.count_if(F.col("_apart") == 1).cast("int").alias("independent_eligible_videos"))
+    out = judged.join(n, "participant_id", "left").fillna(0, ["eligible_videos", "independent_eligible_videos"])
     few = (F.size("exclusion_reasons") == 0) & (F.col("independent_eligible_videos") < f.min_videos_per_participant)
     out = out.withColumn("exclusion_reasons", F.when(few, F.array(F.lit("insufficient_independent_eligible_videos_for_participant"))).otherwise(F.col("exclusion_reasons")))
     return out.withColumn("candidate_status", F.when(F.size("exclusion_reasons") == 0, "eligible").otherwise("excluded")).drop("_videos", "_here")
@@ -155,8 +157,8 @@ def candidates(v: DataFrame, f: Filters, available: DataFrame | None = None) ->
 def benchmark(cand: DataFrame) -> DataFrame:
     """Eligible videos without concurrent ones, with a presentation order of their participant's: it says nothing of when they were recorded."""
     ok = cand.where("candidate_status = 'eligible'")
-    kept = ranking.conflict_free(ok, ["participant_id"], "video_uid", "concurrent_video_set_ids").select(F.explode("kept").alias("video_uid"))
-    picked = ranking.numbered(ok.join(kept, "video_uid", "left_semi"), ["participant_id"], ["video_uid"], "benchmark_session_order")
+    apart = ranking.conflict_free_rows(ok, ["participant_id"], "video_uid", "concurrent_video_set_ids")
+    picked = ranking.numbered(ok.join(apart, ["participant_id", "video_uid"], "left_semi"), ["participant_id"], ["video_uid"], "benchmark_session_order")
     return ranking.group_size_at_least(picked, ["participant_id"], 2, "benchmark_temporal_evolution_eligible").withColumn("benchmark_order_basis", F.lit("synthetic_uid_order"))
 
 

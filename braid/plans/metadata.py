@@ -22,7 +22,8 @@ w as (
 """
 
 
-def _videos(spark, sf_dir):
+def nested_videos(spark, sf_dir):
+    """Videos (record VARIANT) and the sets that they are in."""
     cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("bigint").alias("k"), F.col("c_nationkey").cast("bigint").alias("nation"), F.col("c_mktsegment").alias("seg"))
     orders = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").cast("bigint").alias("k")).agg(F.collect_list(F.col("o_orderkey").cast("bigint")).alias("keys"))
     k = F.col("k")
@@ -39,7 +40,11 @@ def _videos(spark, sf_dir):
     )
     videos = cust.join(orders, "k", "left").select(F.parse_json(record).alias("record"))
     sets = cust.where("k % 3 = 0").select(F.concat(F.lit("u"), k.cast("string")).alias("video_uid"), F.array(F.floor(k / 9).cast("bigint")).alias("concurrent_video_set_ids"))
-    return metadata.video_rows(videos, sets)
+    return videos, sets
+
+
+def _videos(spark, sf_dir):
+    return metadata.video_rows(*nested_videos(spark, sf_dir))
 
 
 @query(_ROWS + """
