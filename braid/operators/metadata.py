@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as c
 from ..sources.workspace import kept
 from . import intervals
-from .nested import plain
+from .nested import plain, present
 
 
 def _number(v: str, path: str) -> Column:
@@ -32,8 +32,8 @@ def _truth(v: str, path: str) -> Column:
 
 def _words(v: str, path: str) -> Column:
     """Distinct trimmed texts of a list, sorted casefolded."""
-    x = F.transform(F.coalesce(F.try_variant_get(v, path, "array<variant>"), F.array().cast("array<variant>")), lambda t: F.nullif(F.trim(plain(t)), F.lit("")))
-    keyed = F.transform(F.array_distinct(F.filter(x, lambda t: t.isNotNull() & (t != "null"))), lambda t: F.struct(c.casefolded(t).alias("k"), t.alias("t")))
+    x = F.transform(F.coalesce(F.try_variant_get(v, path, "array<variant>"), F.array().cast("array<variant>")), lambda t: F.nullif(F.trim(present(t)), F.lit("")))
+    keyed = F.transform(F.array_distinct(F.filter(x, lambda t: t.isNotNull())), lambda t: F.struct(c.casefolded(t).alias("k"), t.alias("t")))
     return F.transform(F.sort_array(keyed), lambda s: s["t"])
 
 
@@ -46,7 +46,7 @@ def video_rows(videos: DataFrame, sets: DataFrame, record: str = "record") -> Da
 
     sets: video_uid, concurrent_video_set_ids, a row for each video in any. A video without video_uid is left out; see `nameless`. The duration is the first
     that is a number of the video's own, its metadata's, and its proxy's. Intervals are cut to the duration and united, so none counts twice."""
-    text = lambda path: plain(F.try_variant_get(record, path, "variant"))
+    text = lambda path: present(F.try_variant_get(record, path, "variant"))
     one = videos.select(
         F.trim(F.coalesce(text("$.video_uid"), F.lit(""))).alias("video_uid"),
         text("$.fb_participant_id").alias("fb_participant_id"),
@@ -86,7 +86,7 @@ def video_rows(videos: DataFrame, sets: DataFrame, record: str = "record") -> Da
 
 def nameless(videos: DataFrame, record: str = "record") -> DataFrame:
     """Videos without video_uid, for `constraints.enforce`."""
-    return videos.where(F.trim(F.coalesce(plain(F.try_variant_get(record, "$.video_uid", "variant")), F.lit(""))) == "")
+    return videos.where(F.trim(F.coalesce(present(F.try_variant_get(record, "$.video_uid", "variant")), F.lit(""))) == "")
 
 
 def _spread(x: Column, name: str) -> list[Column]:

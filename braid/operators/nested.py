@@ -36,6 +36,12 @@ def plain(value: str | Column) -> Column:
     return F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string")).otherwise(F.to_json(v))
 
 
+def present(value: str | Column) -> Column:
+    """`plain`, but null for JSON's null."""
+    v = F.col(value) if isinstance(value, str) else value
+    return F.when(~F.is_variant_null(v), plain(v))
+
+
 def distribution(df: DataFrame, keys: list[str], record: str, name: str) -> DataFrame:
     """keys, value, n: how often each value stands under `name`, at any depth of the record."""
     found = walked(df, keys, record).where(F.col("name") == name)

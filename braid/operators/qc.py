@@ -12,7 +12,10 @@ VERDICTS = ("entailed", "contradicted", "insufficient")
 BLOCKING_FLAGS = ("long_term_overclaim", "affected_by_uncertainty", "single_window_support", "unsupported_aggregation", "needs_visual_review")
 READY = ("verification_passed", "local_verification_passed", "human_accepted")
 REJECTED = ("local_verification_rejected", "human_rejected")
-DECISIONS = ("accept", "accept_corrected", "reject")
+ACCEPT = ("accept", "accept_original", "接受", "接受原事实")
+ACCEPT_CORRECTED = ("accept_corrected", "接受修正")
+REJECT = ("reject", "拒绝")
+DECISIONS = (*ACCEPT, *ACCEPT_CORRECTED, *REJECT)
 QUEUED = ("verification_disputed", "verification_uncertain")
 
 
@@ -40,7 +43,7 @@ def usable(status: Column) -> Column:
 
 
 def final_status(status: Column, decision: Column) -> Column:
-    return F.when(decision.isin("accept", "accept_corrected"), "human_accepted").when(decision == "reject", "human_rejected").otherwise(status)
+    return F.when(decision.isin(*ACCEPT, *ACCEPT_CORRECTED), "human_accepted").when(decision.isin(*REJECT), "human_rejected").otherwise(status)
 
 
 def outcome(status: Column, is_usable: Column) -> Column:
@@ -74,17 +77,21 @@ def merge_second(first: DataFrame, verdicts: DataFrame, keys: list[str]) -> Data
 
 
 def decision_violations(reviewed: DataFrame, decisions: DataFrame, keys: list[str]) -> DataFrame:
-    """Decisions that can't stand: repeated, for no candidate, not asked for, outside the vocabulary, stale, or a correction without a claim."""
+    """Decisions that can't stand: repeated, for no candidate, not asked for, outside the vocabulary, stale, about another claim (where decisions have one), or a
+    correction without a claim."""
     d = decisions.where(F.col("decision").isNotNull() & (F.trim("decision") != "")).withColumn("decision", F.trim("decision"))
     twice = constraints.duplicates(d, keys).select(*keys, F.lit("duplicate_decision").alias("code"))
-    j = d.join(reviewed.select(*keys, F.col("qc_status").alias("_s"), F.col("fingerprint").alias("_f"), F.lit(True).alias("_known")), keys, "left")
+    j = d.join(reviewed.select(*keys, F.col("qc_status").alias("_s"), F.col("fingerprint").alias("_f"), *([F.col("claim").alias("_c")] if "claim" in decisions.columns else []), F.lit(True).alias("_known")), keys, "left")
     checks = [
         constraints.Check("unknown_candidate", "blocking", F.col("_known").isNull()),
         constraints.Check("not_in_review", "blocking", F.col("_known").isNotNull() & (F.coalesce("_s", F.lit("")) != "human_review_required")),
         constraints.Check("unknown_decision", "blocking", ~F.col("decision").isin(*DECISIONS)),
         constraints.Check("stale_fingerprint", "blocking", F.col("_known").isNotNull() & ~F.col("_f").eqNullSafe(F.col("fingerprint"))),
-        constraints.Check("missing_approved_claim", "blocking", (F.col("decision") == "accept_corrected") & (F.coalesce(F.trim("approved_claim"), F.lit("")) == "")),
+        constraints.Check("missing_approved_claim", "blocking", F.col("decision").isin(*ACCEPT_CORRECTED) & (F.coalesce(F.trim("approved_claim"), F.lit("")) == "")),
     ]
+    if "claim" in decisions.columns:
+        other = F.trim(F.coalesce("claim", F.lit(""))) != F.trim(F.coalesce("_c", F.lit("")))
+        checks.append(constraints.Check("claim_mismatch", "blocking", F.col("_known").isNotNull() & other))
     return constraints.issues(j, keys, checks).select(*keys, "code").unionByName(twice)
 
 
@@ -94,7 +101,7 @@ def finalise(reviewed: DataFrame, decisions: DataFrame, keys: list[str]) -> Data
     Decisions are trimmed. Of several for one candidate none counts, so no candidate is doubled; `decision_violations` names them."""
     d = decisions.where(F.trim("decision") != "").groupBy(*keys).agg(F.count("*").alias("_n"), F.max(F.trim("decision")).alias("decision"), F.max("approved_claim").alias("approved_claim")).where("_n = 1").drop("_n")
     j = reviewed.join(d, keys, "left")
-    fixed = F.col("decision") == "accept_corrected"
+    fixed = F.col("decision").isin(*ACCEPT_CORRECTED)
     j = j.withColumn("final_status", final_status(F.col("qc_status"), F.col("decision"))).withColumn("outcome", outcome(F.col("final_status"), F.col("usable")))
     return j.withColumn("original_claim", F.when(fixed, F.col("claim"))).withColumn("claim", F.when(fixed, F.trim("approved_claim")).otherwise(F.col("claim")))
 
