@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as c
 from ..operators import audit, constraints, metadata
-from ..operators.nested import plain
+from ..operators.nested import present
 from ..sources.publication import PublishedSet
 from ..sources.workspace import kept
 
@@ -21,8 +21,8 @@ def concurrent_sets(sets: DataFrame, record: str = "record") -> DataFrame:
     """video_uid and the sorted ids (as text) of the sets it is in, from sets (record VARIANT). A set that says `valid: false`, and one without an id, holds no one."""
     get = lambda x, p: F.try_variant_get(x, p, "variant")
     members = F.coalesce(F.try_variant_get(record, "$.videos", "array<variant>"), F.array().cast("array<variant>"))
-    rows = sets.where(F.coalesce(plain(get(record, "$.valid")), F.lit("")) != "false").select(plain(get(record, "$.concurrent_video_set_id")).alias("id"), F.explode(members).alias("m"))
-    named = rows.select("id", F.trim(plain(get("m", "$.video_uid"))).alias("video_uid")).where("id is not null and video_uid <> ''")
+    rows = sets.where(F.coalesce(present(get(record, "$.valid")), F.lit("")) != "false").select(present(get(record, "$.concurrent_video_set_id")).alias("id"), F.explode(members).alias("m"))
+    named = rows.select("id", F.trim(present(get("m", "$.video_uid"))).alias("video_uid")).where("id is not null and video_uid <> ''")
     return named.groupBy("video_uid").agg(F.sort_array(F.collect_set("id")).alias("concurrent_video_set_ids"))
 
 

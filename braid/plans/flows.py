@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..flows import metadata_audit
+from ..flows import extraction, metadata_audit, reference_set
 from ..operators import audit
 from ..sources.publication import PublishedSet
 from ..sources.workspace import folder
-from . import metadata
+from . import metadata, review
 from .catalog import query
-from .tables import joined, table
+from .tables import table
 
 # Candidates of the audit over the videos of `metadata`: reasons, the choice without concurrent videos, the order of the benchmark.
 _AUDIT = metadata._ROWS + """,
@@ -65,3 +65,80 @@ select participant_id, count(*)::bigint as video_count, sum(duration)::double as
 def q83_audit_index(spark, sf_dir):
     """The index of participants' manifests that the audit publishes."""
     return _audited(spark, sf_dir).read("participant_manifest_index")
+
+
+#: What is answered for a record: a layer's required fields, an id that isn't the parent's, confidences that don't go up.
+_ANSWERS = {
+    "micro": '{"clip_id": "?", "source_video_id": "?", "clip_time_range": "0:00-0:01", "clip_summary": "s", "confidence": "high", "places": [{"place_id": "p"}], "objects": [], "atomic_events": [], "state_observations": [], "state_changes": [], "end_state": [], "uncertainties": []}',
+    "window": '{"window_id": "?", "source_video_id": "?", "time_range": {}, "window_summary": "s", "entity_map": [], "local_event_chain": [], "state_changes": [], "window_end_state": [], "open_threads": [], "evidence_facts": [], "conflicts_or_uncertainties": []}',
+    "session": '{"session_id": "?", "source_video_id": "?", "participant_id": "?", "time_range": {}, "session_summary": "s", "session_timeline": [], "session_entities": [], "state_update_timeline": [], "session_final_state": [], "open_tasks_or_unresolved_states": [], "cross_session_evidence_candidates": [], "contradictions_or_uncertainties": []}',
+}
+
+
+def answered(layer, requests):
+    """Some clips are answered right at the second or third time only: a text that was cut off, then a record that lacks its summary."""
+    part = lambda p: F.coalesce(F.regexp_extract("record_id", p, 1).try_cast("bigint"), F.lit(0))
+    k, i = part(r"^v(\d+)"), part(r"_[sw](\d+)$")
+    late = {"micro": ((k + i) % 7 == 0).cast("int") + ((k + i) % 35 == 0).cast("int"), "window": F.lit(0), "session": F.lit(0)}[layer]
+    whole = F.lit(_ANSWERS[layer])
+    cut, lacking = F.substring(whole, 1, 40), F.regexp_replace(whole, '"[a-z]+_summary": "s", ', "")
+    short = F.col("attempt") <= late
+    return requests.select("record_id", "attempt", F.when(short, F.when(F.col("attempt") == 1, cut).otherwise(lacking)).otherwise(whole).alias("content"), F.when(short & (F.col("attempt") == 1), "length").otherwise("stop").alias("finish_reason"))
+
+
+@query("""
+with s as (select s_suppkey::bigint as k, 20 + (s_suppkey * 37) % 400 as d from supplier),
+n as (select *, case when d < 30 then 1 when d % 30 < 10 then d // 30 else d // 30 + 1 end as n from s),
+c as (select k, i, 30.0 * i as a, case when i = n - 1 then d else 30.0 * (i + 1) end as b from (select *, unnest(generate_series(0, n - 1)) as i from n)),
+w as (select k, i // 4 as i, min(a) as a, max(b) as b, count(*) as children from c group by 1, 2)
+select 'micro' as layer, 'v' || k || '_s' || lpad(i::varchar, 3, '0') as record_id, 'v' || k as source_video_id, 1 + ((k + i) % 7 = 0)::int + ((k + i) % 35 = 0)::int as attempts, 0 as children, a::double as start_sec, b::double as end_sec from c
+union all select 'window', 'v' || k || '_w' || lpad(i::varchar, 3, '0'), 'v' || k, 1, children::int, a::double, b::double from w
+union all select 'session', 'v' || k, 'v' || k, 1, count(*)::int, min(a)::double, max(b)::double from w group by k""")
+def q84_extraction_flow(spark, sf_dir):
+    """Suppliers as videos through clips, windows and sessions: of each record accepted, how often it was asked about, what it was built of and where it lies."""
+    k = F.col("s_suppkey").cast("bigint")
+    videos = table(spark, sf_dir, "supplier").select(F.concat(F.lit("v"), k.cast("string")).alias("source_video_id"), F.concat(F.lit("p"), (k % 9).cast("string")).alias("participant_id"), (20 + (k * 37) % 400).cast("double").alias("duration_sec"))
+    out = None
+    for name, x in extraction.extract(videos, answered).items():
+        below = {"micro": F.lit(0), "window": F.size(F.from_json(F.get_json_object("parent", "$.micro_clip_ids"), "array<string>")), "session": F.size(F.from_json(F.get_json_object("parent", "$.window_ids"), "array<string>"))}[name]
+        at = lambda f: F.get_json_object("parent", f"$.{f}").cast("double").alias(f)
+        parents = x.parents.select("record_id", below.alias("children"), at("start_sec"), at("end_sec"))
+        rows = x.accepted.join(parents, "record_id").join(x.records.select("record_id", "attempts"), "record_id")
+        rows = rows.select(F.lit(name).alias("layer"), "record_id", F.get_json_object("evidence", "$.source_video_id").alias("source_video_id"), "attempts", "children", "start_sec", "end_sec")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query(review._CAND.replace("s as (", """s as (select *, first_status as qc_status from f), unused as (""", 1) + """
+select 's' || (doc_id // 8) || ':c' || doc_id as reference_id, coalesce(type, 'unknown') as type, first_status, final_status, outcome, case when decision = 'accept_corrected' then 'approved ' || doc_id else 'claim ' || doc_id end as claim,
+  first_status in ('verification_disputed', 'verification_uncertain') as queued, case when decision is not null then 'note ' || doc_id end as human_notes from o""")
+def q85_reference_flow(spark, sf_dir):
+    """Documents as candidates of sources of eight: a service's lines merged and published, people's decisions on the published sheet, the finished set."""
+    n, none = F.col("doc_id"), F.array().cast("array<string>")
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    ids = [text("s", F.floor(n / 8).cast("bigint")).alias("source_video_id"), text("c", n).alias("candidate_id")]
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", *ids)
+    span = lambda a, b: F.array(F.struct(a.cast("double").alias("start_sec"), b.cast("double").alias("end_sec")))
+    flags = F.when(n % 17 == 0, F.array(F.lit("long_term_overclaim"))).otherwise(none).alias("flags")
+    candidates = docs.select("source_video_id", "candidate_id", F.lit("p").alias("participant_id"), F.col("lang").alias("type"), text("claim ", n).alias("claim"), F.lit("").alias("observed_value"), none.alias("supporting_window_ids"), span(F.lit(0), F.lit(300)).alias("support"), flags)
+    asked = docs.where("doc_id % 13 <> 0").join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    verdict = F.when(F.col("quality").isNull(), "insufficient").when(F.col("quality") == 0, "contradicted").otherwise("entailed")
+    evidence = F.when((F.col("n_chars") > 300) & (n % 11 != 0), span(F.lit(200), F.col("n_chars"))).otherwise(span(F.lit(300), F.col("n_chars") + 300))
+    result = F.struct("candidate_id", verdict.alias("verdict"), evidence.alias("evidence_time_ranges"), F.when(n % 19 == 0, "better").alias("corrected_claim"))
+    answers = asked.groupBy("source_video_id").agg(F.to_json(F.struct(F.collect_list(result).alias("verification_results"))).alias("content"))
+    message = F.array(F.struct(F.struct("content").alias("message")))
+    response = F.struct(F.lit(200).alias("status_code"), F.struct(message.alias("choices")).alias("body"))
+    lines = answers.select(F.to_json(F.struct(F.col("source_video_id").alias("custom_id"), response.alias("response"))).alias("value"))
+    out, final = PublishedSet(spark, folder(spark)), PublishedSet(spark, folder(spark))
+    reference_set.first_pass(out, candidates, asked.select("source_video_id", "candidate_id"), lines)
+    number = F.substring("candidate_id", 2, 20).cast("bigint")
+    choice = F.get(F.array(F.lit("accept"), F.lit("接受修正"), F.lit(" reject "), F.lit("")), (number % 4).cast("int"))
+    sheet = out.read("human_review").select("source_video_id", "candidate_id", choice.alias("decision"), text("approved ", number).alias("approved_claim"), F.col("review_fingerprint").alias("fingerprint"), "claim", text("note ", number).alias("human_notes"))
+    reference_set.finalise(final, out.read("merged"), sheet)
+    queued = out.read("local_review_queue").select("source_video_id", "candidate_id", F.lit(True).alias("queued"))
+    rows = None
+    for name, outcome in (("reference_ready", "ready"), ("rejected", "rejected"), ("unresolved", "unresolved")):
+        part = final.read(name).withColumn("outcome", F.lit(outcome))
+        rows = part if rows is None else rows.unionByName(part)
+    rows = rows.join(queued, ["source_video_id", "candidate_id"], "left")
+    return rows.select("reference_id", F.coalesce("type", F.lit("unknown")).alias("type"), F.col("qc_status").alias("first_status"), "final_status", "outcome", "claim", F.coalesce("queued", F.lit(False)).alias("queued"), "human_notes")
