@@ -31,7 +31,7 @@ def references(layer: str, records: DataFrame, key: str = "record_id") -> DataFr
             return F.transform(ids, lambda t: F.struct(F.lit(_space(r)).alias("space"), t.alias("ref"), F.lit(r.section).alias("section"), F.lit(r.code).alias("code"), severity.alias("severity"), candidate.alias("candidate_id")))
 
         parts.append(F.flatten(F.transform(rules.items(v, r.section), rules._bind(of, r))))
-    return rows.select(key, F.explode(F.concat(*parts)).alias("r")).select(key, "r.*").where("ref is not null and ref <> ''")
+    return rules.once(rows, _refs=F.concat(*parts)).select(key, F.explode("_refs").alias("r")).select(key, "r.*").where("ref is not null and ref <> ''")
 
 
 def known_ids(layer: str, records: DataFrame, parents: DataFrame, key: str = "record_id") -> DataFrame:
@@ -45,7 +45,7 @@ def known_ids(layer: str, records: DataFrame, parents: DataFrame, key: str = "re
     out = None
     for df, parts, column in ((records, own, "record"), (parents, above, "parent")):
         if parts:
-            rows = df.where(f"{column} is not null").select(key, F.explode(F.concat(*parts)).alias("x")).select(key, "x.space", "x.ref").distinct()
+            rows = rules.once(df.where(f"{column} is not null"), _ids=F.concat(*parts)).select(key, F.explode("_ids").alias("x")).select(key, "x.space", "x.ref").distinct()
             out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -69,4 +69,4 @@ def validate(layer: str, records: DataFrame, parents: DataFrame, key: str = "rec
         .when(p.isNull(), F.array(rules._issue("missing_parent_metadata", "blocking")))
         .otherwise(F.concat(rules.record_issues(layer, v, p, normalise_identity, references=False), F.coalesce(F.col("_unknown").cast(rules.ISSUE), rules._none())))
     )
-    return rules.finished(v, j.withColumn("issues", found).drop("_unknown"))
+    return rules.finished(v, rules.once(j, issues=found).drop("_unknown"))

@@ -107,7 +107,13 @@ class Prepared:
 def prepared(layer: str, df: DataFrame, record: str = "record") -> tuple[DataFrame, Prepared]:
     """df with the columns of Prepared, as rows of a generator: what a generator makes isn't computed again by those who use it."""
     p = Prepared(layer, record)
-    return df.select("*", F.inline(F.array(F.struct(*[x.alias(k) for k, x in p.made().items()])))), p
+    return once(df, **p.made()), p
+
+
+def once(df: DataFrame, **made: Column) -> DataFrame:
+    """df with columns as rows of a generator, computed once a record: what filters them (Spark adds such filters below an explode) would compute a column of a
+    projection anew, each time it names it."""
+    return df.select("*", F.inline(F.array(F.struct(*[x.alias(k) for k, x in made.items()]))))
 
 
 def raw(v: Column | Prepared) -> Column:
@@ -344,15 +350,15 @@ def validate(layer: str, records: DataFrame, parents: DataFrame, key: str = "rec
         .when(p.isNull(), F.array(_issue("missing_parent_metadata", "blocking")))
         .otherwise(record_issues(layer, v, p, normalise_identity))
     )
-    return finished(v, j.withColumn("issues", found))
+    return finished(v, once(j, issues=found))
 
 
 def finished(v: Prepared, out: DataFrame) -> DataFrame:
     """out (record, issues) with `accepted`, and for sessions the candidates and what is said of them."""
     if v.layer == "session":
-        out = out.withColumn("candidates", candidate_state(v, F.col("issues")))
+        out = once(out, candidates=candidate_state(v, F.col("issues")))
         extra = F.flatten(F.transform("candidates", lambda x: F.transform(x["own_flags"], lambda f: _issue(f, "warning", x["claim"], x["candidate_id"]))))
-        out = out.withColumn("issues", F.concat("issues", F.coalesce(extra.cast(ISSUE), _none())))
+        out = once(out.withColumnRenamed("issues", "_found"), issues=F.concat("_found", F.coalesce(extra.cast(ISSUE), _none()))).drop("_found")
     return out.withColumn("accepted", ~F.exists("issues", lambda i: i["severity"] == "blocking")).drop(*v.made())
 
 

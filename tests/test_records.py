@@ -137,3 +137,12 @@ def test_requests_and_statuses(spark):
     manifest = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "id string")
     statuses = spark.createDataFrame([("a", 1, "error"), ("a", 2, "ok"), ("b", 1, "ok"), ("b", 3, "error"), ("d", 1, None)], "id string, at int, status string")
     assert sorted(tuple(r) for r in requests.unfinished(manifest, statuses, ["id"], ["at"]).collect()) == [("b", "not_ok"), ("c", "missing_status"), ("d", "not_ok")]
+
+
+def test_rules_are_evaluated_once_a_record(spark):
+    """A log of issues holds each rule once: no filter below its explode repeats them."""
+    records = spark.range(3).select(F.col("id").alias("record_id"), F.parse_json(F.lit("{}")).alias("record"))
+    parents = spark.range(3).select(F.col("id").alias("record_id"), F.parse_json(F.lit("{}")).alias("parent"))
+    for layer, check in (("micro", rules.validate), ("window", levels.validate), ("session", levels.validate)):
+        plan = rules.issue_log(check(layer, records, parents), layer)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("missing_model_output") == 1, (layer, plan.count("missing_model_output"))
