@@ -167,6 +167,25 @@ def test_conflict_free_by_rounds(spark, fold):
     assert sorted((r.g, r.i) for r in got.collect()) == want
 
 
+
+@pytest.mark.parametrize("fold", [0, 100])
+def test_conflict_free_null_ids_meet_no_other(spark, fold):
+    """A null id is no id, by rounds as in a fold: rows that have nothing else are kept, and the rounds end."""
+    data = [("a", 1, [None]), ("a", 2, [None, 5]), ("a", 3, [5]), ("a", 4, [None]), ("a", 5, [6, None])]
+    got = ranking.conflict_free_rows(spark.createDataFrame(data, "g string, i int, s array<bigint>"), ["g"], "i", "s", fold=fold)
+    assert sorted(r.i for r in got.collect()) == [1, 2, 4, 5]
+
+
+def test_conflict_free_rounds_keep_a_row_for_each_row(spark, monkeypatch):
+    """No round stores what remains as a row for each id: ids go with their row, and the firsts are as many as ids."""
+    sizes = []
+    real = ranking.kept
+    monkeypatch.setattr(ranking, "kept", lambda df: sizes.append((real(df), df.columns)) or sizes[-1][0])
+    data = [("g", i, [(i + k) % 50 for k in range(8)]) for i in range(300)]
+    assert ranking.conflict_free_rows(spark.createDataFrame(data, "g string, i int, s array<bigint>"), ["g"], "i", "s", fold=0).count() == 6
+    assert max(t.count() for t, _ in sizes) == 300
+
+
 def test_casefolded_text(spark):
     texts = [chr(i) for i in range(0x3000) if unicodedata.category(chr(i))[0] == "L"] + ["Straße", "ΣΊΣΥΦΟΣ", "ﬁne", "İstanbul", "ǅ", "ŉ", "", "ΐ", "plain ASCII", "ſ"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i int, t string")
