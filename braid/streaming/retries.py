@@ -29,8 +29,10 @@ class _Attempts(StatefulProcessor):
         self.state = handle.getValueState("state", "awaited int, over boolean, archived array<string>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803  (named by Spark)
-        x = self.state.get() if self.state.exists() else (1, False, ())
+        # each call of the state is a trip to the JVM and back: it is read once, and written only if something has changed
+        x = self.state.get() or (1, False, ())
         awaited, over, archived = x[0], x[1], list(x[2])
+        before = awaited, over
         for r in sorted(rows, key=lambda r: (r["attempt"], not r["accepted"], r["answer"] or "")):
             if over or r["attempt"] != awaited:
                 continue
@@ -43,7 +45,8 @@ class _Attempts(StatefulProcessor):
                 status = "exhausted" if over else "retry"
             yield Row(record_id=key[0], attempt=awaited, status=status, answer=r["answer"], message=r["message"], archived=list(archived))
             awaited += not over
-        self.state.update((awaited, over, archived))
+        if (awaited, over) != before:
+            self.state.update((awaited, over, archived))
 
     def close(self) -> None:
         pass

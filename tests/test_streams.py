@@ -90,3 +90,32 @@ def test_snapshot_over_a_restart_keeps_the_latest(spark):
     assert run() == [(1, 1), (2, 2)]
     land(spark, path, "2", [(1, "2024-01-01 00:01:00", 9), (2, "2024-01-01 00:01:00", 3), (3, "2024-01-01 00:00:00", 4)])
     assert run() == [(1, 1), (2, 3), (3, 4)] and run() == [(1, 1), (2, 3), (3, 4)]
+
+
+def test_attempts_touch_state_as_little_as_can_be():
+    """A record's state is read once and written once a batch, and not written by answers that change nothing."""
+    calls = []
+
+    class State:
+        value = None
+
+        def exists(self):
+            calls.append("exists")
+            return self.value is not None
+
+        def get(self):
+            calls.append("get")
+            return self.value
+
+        def update(self, value):
+            calls.append("update")
+            self.value = value
+
+    x = retries._Attempts(2)
+    x.state = State()
+    row = lambda attempt, accepted: {"attempt": attempt, "accepted": accepted, "answer": "a", "message": None}
+    assert [r["status"] for r in x.handleInputRows(("r",), iter([row(1, False)]), None)] == ["retry"]
+    assert [r["status"] for r in x.handleInputRows(("r",), iter([row(1, True)]), None)] == []
+    assert [r["status"] for r in x.handleInputRows(("r",), iter([row(2, True)]), None)] == ["accepted"]
+    assert [r["status"] for r in x.handleInputRows(("r",), iter([row(2, False)]), None)] == []
+    assert calls == ["get", "update", "get", "get", "update", "get"]
