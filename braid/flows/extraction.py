@@ -17,7 +17,7 @@ from ..operators import constraints, evidence, levels, normalise, rules
 from ..operators.lookups import token_limit
 from ..sources import io
 from ..sources.publication import Incomplete
-from ..sources.workspace import folder, kept
+from ..sources.workspace import folder, kept as stored
 
 #: Records that an error names, and messages that a record is asked again with.
 NAMED = 20
@@ -61,6 +61,12 @@ class Layer:
     issues: DataFrame
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """A stored table that joins by sorting. Answers are much alike, so their file may be a hundredth of what they take in memory; Spark would go by the file,
+    and broadcast them through the driver."""
+    return stored(df).hint("merge")
+
+
 def parents_of(layer: str, rows: DataFrame) -> DataFrame:
     """record_id and parent (JSON of a row). Blank and repeated ids are an error."""
     rid = rules.RECORD_ID[layer]

@@ -53,6 +53,14 @@ def videos_of(spark):
     return spark.createDataFrame([("v35", "p1", 65.0), ("v4", "p2", 130.0)], "source_video_id string, participant_id string, duration_sec double")
 
 
+def test_layers_are_joined_without_broadcasts(spark):
+    """Small as their files are, tables of records don't pass through the driver."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    got = extraction.extract(videos_of(spark), answered)
+    for x in got.values():
+        assert "Broadcast" not in plan(x.accepted.join(x.parents, "record_id").join(x.records, "record_id"))
+
+
 def test_layers_go_on_where_they_ended(spark):
     asked = []
 
