@@ -1,7 +1,8 @@
-"""Validation across levels: what clips, windows and sessions refer to is looked up by joins, not within each record.
+"""Validation across levels: what clips, windows and sessions refer to is looked up among the ids of their own items and of their parent.
 
-A record's references and the ids they may mean (its own items' or its parent's) become rows, and an anti join leaves the references to nothing. However
-many of either a record has, they meet by hash; only the issues found come back to the record."""
+The ids that a record refers to are held against those they may mean by hash, which leaves the different ones that mean nothing; where there are any, each
+reference is looked up among these, by halving where they are many. So time grows with a record's references and ids, not with their product, and
+nothing is shuffled but records and parents, once."""
 
 from __future__ import annotations
 
@@ -10,63 +11,75 @@ from pyspark.sql import functions as F
 
 from . import rules
 
+#: Unknown ids up to which a reference is looked up one by one.
+FEW = 16
+#: Steps of halving, as powers of two from the longest array that Spark holds.
+_STEPS = [1 << b for b in range(30, -1, -1)]
+
 
 def _space(r: rules.Ref) -> str:
-    """What the ids of a reference are looked up in."""
-    return f"parent.{r.parent}" if r.parent else "|".join(f"{s}.{f}" for s, f in r.sections)
+    """The column of the ids that a reference may mean."""
+    return "_known_" + (f"parent_{r.parent}" if r.parent else "_".join(s for s, _ in r.sections))
 
 
-def references(layer: str, records: DataFrame, key: str = "record_id") -> DataFrame:
-    """key, space, ref, section, code, severity, candidate_id: a row for each reference of each record that isn't blank, repeats too."""
-    rows, v = rules.prepared(layer, records.where("record is not null"))
-    parts = []
+def references(x: Column, r: rules.Ref) -> Column:
+    """The ids that an item refers to; blank and null ones are among them."""
+    many, _, one = r.field.partition("|")
+    ids = F.try_variant_get(x, f"$.{many}", "array<string>") if r.many else F.array(rules.text(x, r.field))
+    return F.coalesce(ids, F.array(rules.text(x, one)) if one else F.array().cast("array<string>"))
+
+
+def known_ids(layer: str, v: rules.Prepared) -> dict[str, Column]:
+    """By column, the ids that a record's references may mean, with blank and null, which refer to nothing by intent."""
+    none = F.array(F.lit(""), F.lit(None).cast("string"))
+    out = {}
     for r in rules.REFS[layer]:
+        ids = [rules.texts(F.col("parent"), r.parent)] if r.parent else [rules._ids(v, *s) for s in r.sections]
+        out[_space(r)] = F.concat(*ids, none)
+    return out
 
-        def of(x: Column, r: rules.Ref) -> Column:
-            many, _, one = r.field.partition("|")
-            ids = F.try_variant_get(x, f"$.{many}", "array<string>") if r.many else F.array(rules.text(x, r.field))
-            ids = F.coalesce(ids, F.array(rules.text(x, one))) if one else F.coalesce(ids, F.array().cast("array<string>"))
-            candidate = rules.text(x, "candidate_id") if layer == "session" and r.code != "unknown_candidate_reference" else F.lit("")
-            severity = F.when(candidate != "", "candidate_blocking").otherwise(r.severity)
-            return F.transform(ids, lambda t: F.struct(F.lit(_space(r)).alias("space"), t.alias("ref"), F.lit(r.section).alias("section"), F.lit(r.code).alias("code"), severity.alias("severity"), candidate.alias("candidate_id")))
-
-        parts.append(F.flatten(F.transform(rules.items(v, r.section), rules._bind(of, r))))
-    return rules.once(rows, _refs=F.concat(*parts)).select(key, F.explode("_refs").alias("r")).select(key, "r.*").where("ref is not null and ref <> ''")
-
-
-def known_ids(layer: str, records: DataFrame, parents: DataFrame, key: str = "record_id") -> DataFrame:
-    """key, space, ref: the ids that a record's references may mean."""
-    own, above = [], []
-    for space, r in {_space(r): r for r in rules.REFS[layer]}.items():
-        if r.parent:
-            above.append(F.transform(rules.texts(F.col("parent"), r.parent), rules._bind(lambda t, s: F.struct(F.lit(s).alias("space"), t.alias("ref")), space)))
-        for section, name in r.sections:
-            own.append(F.transform(rules._ids(F.col("record"), section, name), rules._bind(lambda t, s: F.struct(F.lit(s).alias("space"), t.alias("ref")), space)))
-    out = None
-    for df, parts, column in ((records, own, "record"), (parents, above, "parent")):
-        if parts:
-            rows = rules.once(df.where(f"{column} is not null"), _ids=F.concat(*parts)).select(key, F.explode("_ids").alias("x")).select(key, "x.space", "x.ref").distinct()
-            out = rows if out is None else out.unionByName(rows)
+
+def unknown_ids(layer: str, v: rules.Prepared) -> dict[str, Column]:
+    """By column, one for each kind of reference, the ids that mean nothing: each once, in order. Needs the columns of `known_ids`."""
+    out = {}
+    for k, r in enumerate(rules.REFS[layer]):
+        ids = F.flatten(F.transform(rules.items(v, r.section), rules._bind(references, r)))
+        out[f"_unknown_{k}"] = F.sort_array(F.array_except(ids, F.col(_space(r))))
     return out
 
 
-def unknown_references(layer: str, records: DataFrame, parents: DataFrame, key: str = "record_id") -> DataFrame:
-    """The rows of `references` whose id is none of `known_ids`, of records that have a parent row."""
-    refs = references(layer, records.join(parents.where("parent is not null").select(key), key, "left_semi"), key)
-    return refs.join(known_ids(layer, records, parents, key), [key, "space", "ref"], "left_anti")
+def among(values: Column, t: Column) -> Column:
+    """Whether t is one of the sorted values; not true of null."""
+    at = F.aggregate(F.array(*map(F.lit, _STEPS)), F.lit(0), lambda p, step: F.when(F.get(values, p + step) <= t, p + step).otherwise(p))
+    return F.when(F.size(values) <= FEW, F.array_contains(values, t)).otherwise(F.get(values, at) == t)
+
+
+def unknown_references(layer: str, v: rules.Prepared) -> Column:
+    """An issue for each reference to nothing, repeats too. Needs the columns of `unknown_ids`."""
+    parts = []
+    for k, r in enumerate(rules.REFS[layer]):
+        unknown = F.col(f"_unknown_{k}")
+
+        def issues(x: Column, r: rules.Ref, unknown: Column) -> Column:
+            candidate = rules.text(x, "candidate_id") if layer == "session" and r.code != "unknown_candidate_reference" else F.lit("")
+            severity = F.when(candidate != "", "candidate_blocking").otherwise(r.severity)
+            return F.transform(F.filter(references(x, r), lambda t: among(unknown, t)), lambda t: rules._issue(r.code, severity, F.concat(F.lit(f"{r.section}:"), t), candidate))
+
+        found = F.flatten(F.transform(rules.items(v, r.section), rules._bind(issues, r, unknown))).cast(rules.ISSUE)
+        parts.append(F.when(F.size(unknown) > 0, found).otherwise(rules._none()))
+    return F.sort_array(F.concat(*parts))
 
 
 def validate(layer: str, records: DataFrame, parents: DataFrame, key: str = "record_id", normalise_identity: bool = True) -> DataFrame:
     """As `rules.validate`: records (key, record VARIANT) and parents (key, parent VARIANT), keys unique in each, to key, record, parent, issues, accepted, and
     for sessions candidates. A record without a parent, and a parent without a record, is an issue."""
     p = F.col("parent")
-    bad = unknown_references(layer, records, parents, key)
-    issue = rules._issue(F.col("code"), F.col("severity"), F.concat_ws(":", "section", "ref"), F.col("candidate_id"))
-    by_record = bad.select(key, issue.alias("i")).groupBy(key).agg(F.sort_array(F.collect_list("i")).alias("_unknown"))
-    j, v = rules.prepared(layer, records.join(parents, key, "full_outer").join(by_record, key, "left"))
+    j, v = rules.prepared(layer, records.join(parents, key, "full_outer"))
+    known, unknown = known_ids(layer, v), unknown_ids(layer, v)
+    j = rules.once(rules.once(j, **known), **unknown)
     found = (
         F.when(v.v.isNull(), F.array(rules._issue("missing_model_output", "blocking")))
         .when(p.isNull(), F.array(rules._issue("missing_parent_metadata", "blocking")))
-        .otherwise(F.concat(rules.record_issues(layer, v, p, normalise_identity, references=False), F.coalesce(F.col("_unknown").cast(rules.ISSUE), rules._none())))
+        .otherwise(F.concat(rules.record_issues(layer, v, p, normalise_identity, references=False), unknown_references(layer, v)))
     )
-    return rules.finished(v, rules.once(j, issues=found).drop("_unknown"))
+    return rules.finished(v, rules.once(j, issues=found).drop(*known, *unknown))

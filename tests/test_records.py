@@ -139,6 +139,31 @@ def test_requests_and_statuses(spark):
     assert sorted(tuple(r) for r in requests.unfinished(manifest, statuses, ["id"], ["at"]).collect()) == [("b", "not_ok"), ("c", "missing_status"), ("d", "not_ok")]
 
 
+def test_references_are_looked_up_without_shuffles(spark):
+    """Record and parent meet, and that is all that moves."""
+    records = spark.range(3).select(F.col("id").alias("record_id"), F.parse_json(F.lit("{}")).alias("record"))
+    parents = spark.range(3).select(F.col("id").alias("record_id"), F.parse_json(F.lit("{}")).alias("parent"))
+    for layer in ("micro", "window", "session"):
+        plan = levels.validate(layer, records, parents)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") <= 2, layer
+
+
+def test_many_references_of_a_record(spark):
+    """Thousands of ids, of references and of unknown ones, in one record; null, blank and repeated ones, and keys that are there but null."""
+    rng = random.Random(3)
+    ids = [f"e{i}" for i in range(5000)]
+    refs = [rng.choice([f"e{rng.randrange(9000)}", f"é{rng.randrange(4000)}", "", None]) for _ in range(20000)]
+    clips = [f"c{rng.randrange(3000)}" for _ in range(6000)]
+    record = window(entity_map=[{"entity_id": x} for x in ids], open_threads=[{"entity_ids": refs[:9000]}, {"entity_ids": refs[9000:], "supporting_clip_ids": clips}], window_summary=None)
+    parent = {"window_id": "w", "source_video_id": "v", "micro_clip_ids": ["c1", "c2", None, "c1500"] + [f"c{i}" for i in range(2000, 4000)]}
+    log = rules.issue_log(levels.validate("window", variants(spark, [("a", record)]), variants(spark, [("a", parent)], "parent")), "window")
+    got = Counter((r.code, r.message) for r in log.where("code like 'unknown%'").collect())
+    known, above = set(ids), set(parent["micro_clip_ids"])
+    want = Counter(("unknown_entity_reference", f"open_threads:{x}") for x in refs if x and x not in known) + Counter(("unknown_clip_reference", f"open_threads:{x}") for x in clips if x not in above)
+    assert got == want + Counter([("unknown_entity_reference", "local_event_chain:e")])
+    assert log.where("code in ('missing_required_field', 'invalid_field_type')").count() == 0
+
+
 def test_rules_are_evaluated_once_a_record(spark):
     """A log of issues holds each rule once: no filter below its explode repeats them."""
     records = spark.range(3).select(F.col("id").alias("record_id"), F.parse_json(F.lit("{}")).alias("record"))
